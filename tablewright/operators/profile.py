@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.nulls import ColumnLike, col
 from tablewright.operators.quantiles import attach, iqr_bounds, quantiles, within
 from tablewright.operators.schema import column_metadata, q
+from tablewright.session import materialize
 
 DESCRIBE_PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -107,13 +108,18 @@ def iqr_filter(df: DataFrame, value: ColumnLike, k: float = 1.5, by: Sequence[st
     return kept.drop("_tw_v", "_tw_lo", "_tw_hi")
 
 
-def histogram(spark: SparkSession, df: DataFrame, value: ColumnLike, bins: int = 50) -> DataFrame:
+def histogram(spark: SparkSession, df: DataFrame, value: ColumnLike, bins: int = 50,
+              reuse_input: bool = True) -> DataFrame:
     """Equal-width histogram between min and max: (bin, bin_lo, bin_hi, count).
 
     The last bin is closed; empty bins are reported with count 0; a constant
-    column is widened by 0.5 on both sides."""
+    column is widened by 0.5 on both sides.  ``reuse_input`` writes the
+    projected value column once (shared checkpoint folder) so the range and
+    the counting pass do not both recompute the input."""
     v = col(value).cast("double")
     vals = df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if reuse_input:
+        vals = materialize(vals, "histogram")
     rng = vals.agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
     rng = rng.select(F.when(F.col("_a") == F.col("_b"), F.col("_a") - 0.5).otherwise(F.col("_a")).alias("_lo"),
                      F.when(F.col("_a") == F.col("_b"), F.col("_b") + 0.5).otherwise(F.col("_b")).alias("_hi"))
@@ -131,13 +137,17 @@ def histogram(spark: SparkSession, df: DataFrame, value: ColumnLike, bins: int =
 
 
 def box_stats(df: DataFrame, value: ColumnLike, k: float = 1.5, refenced: bool = True,
-              method: str = "exact") -> DataFrame:
+              method: str = "exact", reuse_input: bool = True) -> DataFrame:
     """Box-plot numbers: q1, median, q3, whiskers, outlier count.
 
     ``refenced=True`` draws the box from the fenced data, as a box plot of
-    the IQR-filtered values does; ``False`` uses all values."""
+    the IQR-filtered values does; ``False`` uses all values.  The three
+    dependent passes (fence, quartiles, whiskers) read the projected value
+    column written once (``reuse_input``) instead of recomputing the input."""
     v = col(value).cast("double")
     vals = df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if reuse_input:
+        vals = materialize(vals, "box")
     if refenced:
         vals = iqr_filter(vals, "_v", k, method=method)
     stats = quantiles(vals, "_v", [0.25, 0.5, 0.75], names=["q1", "median", "q3"], method=method)

@@ -1,23 +1,29 @@
 """Quantiles with linear interpolation, exact or approximate, per group.
 
-``method="exact"`` is a distributed rank selection, built so that no task
-ever has to hold a whole group (Spark's ``percentile`` aggregate merges
-every distinct value of a group into one task, and an ungrouped one into a
-single partition):
-
-1. pre-aggregate ``(group, value) -> multiplicity`` (map-side combined);
-2. cut each group's distinct values into ``buckets`` ranges using
-   ``percentile_approx`` cut points (a bounded-size sketch per group), so a
-   group holding a third of all rows is still spread over many tasks;
-3. running counts inside each (group, bucket) with a window, plus bucket
-   offsets from a tiny per-bucket table;
-4. keep only the rows whose rank range contains a wanted rank, and
-   interpolate ``lo + (pos - floor(pos)) * (hi - lo)`` with
-   ``pos = p * (n - 1)`` -- the same rule as pandas' default ``quantile``,
-   Spark's ``percentile`` and DuckDB's ``quantile_cont``.
-
-The approximate cut points only decide *where* work is split; the answer
-is exact whatever they are.  ``method="approx"`` is ``percentile_approx``.
+``method="exact"`` is a distributed rank selection built so that no task
+ever holds more than a bounded slice of one group.  (Spark's
+``percentile`` aggregate merges every distinct value of a group into one
+task, and an ungrouped one into a single partition.)
+
+1. Pre-aggregate ``(group, value) -> multiplicity`` (map-side combined), and
+   per group the number of distinct values and of rows.
+2. A group with at most ``max_group_values`` distinct values is ranked by one
+   running-count window: a proven per-task bound.
+3. A *hot* group (more distinct values than that; there are at most
+   ``distinct pairs / max_group_values`` of them) gets a
+   ``percentile_approx`` sketch over its rows (bounded state per task).
+   For every wanted probability ``p`` the sketch values at ``p -/+ 3/accuracy``
+   bracket the target rank; an algebraic count gives the rows below the
+   bracket, and only the bracket's values (about ``8 n / accuracy`` rows)
+   are ranked exactly, one window partition per (group, p).  A bracket that
+   misses its rank fails the job instead of answering wrongly.
+4. Keep the rows whose rank range holds a wanted rank and interpolate
+   ``lo + (pos - floor(pos)) * (hi - lo)`` with ``pos = p * (n - 1)``, the
+   rule of pandas' default ``quantile``, Spark's ``percentile`` and DuckDB's
+   ``quantile_cont``.
+
+The sketch only decides which rows are ranked; the answer is exact.
+``method="approx"`` is plain ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ from pyspark.sql import functions as F
 from tablewright.functions.nulls import ColumnLike, col
 
 _G = "_tw_g"  # constant key used for an ungrouped request
+MAX_GROUP_VALUES = 100_000
+SKETCH_ACCURACY = 100_000
 
 
 def quantile_name(p: float) -> str:
@@ -40,8 +48,9 @@ def quantile_name(p: float) -> str:
 
 def quantiles(df: DataFrame, value: ColumnLike, probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
-              names: Sequence[str] | None = None, buckets: int = 64,
-              accuracy: int = 10000) -> DataFrame:
+              names: Sequence[str] | None = None,
+              max_group_values: int = MAX_GROUP_VALUES,
+              accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """One row per group of ``by`` with one double column per probability.
 
     Missing values (null, NaN) are skipped; a group without any value is
@@ -61,64 +70,71 @@ def quantiles(df: DataFrame, value: ColumnLike, probs: Sequence[float],
                .agg(F.percentile_approx("_v", probs, accuracy).alias("_q"))
                .select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
     elif method == "exact":
-        out = _exact(base, keys, probs, names, buckets, accuracy)
+        out = _exact(base, keys, probs, names, max_group_values, accuracy)
     else:
         raise ValueError(f"unknown method {method!r}")
     return out.drop(_G) if not by else out
 
 
 def _exact(base: DataFrame, keys: list[str], probs: list[float], names: list[str],
-           buckets: int, accuracy: int) -> DataFrame:
-    # 1. distinct values with their multiplicity
+           max_group_values: int, accuracy: int) -> DataFrame:
+    n_p = len(probs)
+    # 1. distinct values with multiplicity; per group distinct count and size
     d = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    # 2. bucket cut points per group over its distinct values (bounded sketch)
-    if buckets > 1:
-        fractions = [i / buckets for i in range(1, buckets)]
-        cuts = d.groupBy(*keys).agg(F.percentile_approx("_v", fractions, accuracy).alias("_cuts"))
-        d = (d.join(cuts, keys)
-              .withColumn("_b", F.aggregate("_cuts", F.lit(0),
-                                            lambda acc, c: acc + F.when(c < F.col("_v"), 1).otherwise(0)))
-              .drop("_cuts"))
-    else:
-        d = d.withColumn("_b", F.lit(0))
-
-    # 3. running count inside (group, bucket); bucket offsets and group size
-    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(
+    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), F.sum("_c").alias("_n"))
+
+    # 3. brackets for hot groups only (one sketch per hot group)
+    hot = sizes.where(F.col("_nd") > max_group_values).select(*keys)
+    margin = 3.0 / accuracy
+    fractions = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    brackets = (base.join(hot, keys, "left_semi").groupBy(*keys)
+                .agg(F.percentile_approx("_v", fractions, accuracy).alias("_br")))
+    below = (d.join(brackets, keys)
+             .groupBy(*keys)
+             .agg(F.array(*[F.sum(F.when(F.col("_v") < F.col("_br")[i], F.col("_c")).otherwise(0))
+                            for i in range(n_p)]).alias("_below")))
+
+    # rows to rank: slot -1 = whole (small) group; slot i = bracket of probability i
+    in_bracket = [F.when((F.col("_br")[i] <= F.col("_v")) & (F.col("_v") <= F.col("_br")[n_p + i]), F.lit(i))
+                  for i in range(n_p)]
+    slots = F.when(F.col("_br").isNull(), F.array(F.lit(-1))).otherwise(F.array(*in_bracket))
+    ranked = (d.join(brackets, keys, "left")
+              .select(*keys, "_v", "_c", F.explode(slots).alias("_i"))
+              .where(F.col("_i").isNotNull()))
+    in_slot = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_cum", F.sum("_c").over(in_bucket))
-    per_bucket = d.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = (per_bucket
-                  .withColumn("_off", F.coalesce(F.sum("_bc").over(earlier), F.lit(0)))
-                  .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*keys)))
-                  .drop("_bc"))
-    d = d.join(per_bucket, [*keys, "_b"])
-
-    # 4. rows whose 0-based rank range [start, end] holds a wanted rank
-    start = F.col("_off") + F.col("_cum") - F.col("_c")
-    end = F.col("_off") + F.col("_cum") - 1
+    ranked = (ranked.withColumn("_cum", F.sum("_c").over(in_slot))
+              .join(sizes.select(*keys, "_n"), keys)
+              .join(below, keys, "left"))
+    offset = F.when(F.col("_i") < 0, F.lit(0)).otherwise(F.col("_below")[F.col("_i")])
+    ranked = ranked.withColumns({"_start": offset + F.col("_cum") - F.col("_c"),
+                                 "_end": offset + F.col("_cum") - 1})
+
+    # 4. rows holding a wanted rank, then interpolation per (group, p)
+    pos = lambda p: F.lit(p) * (F.col("_n") - 1)
+    inside = lambda r: (r >= F.col("_start")) & (r <= F.col("_end"))
+    relevant = lambda i: (F.col("_i") < 0) | (F.col("_i") == i)
+    hit = F.lit(False)
+    for i, p in enumerate(probs):
+        hit = hit | (relevant(i) & (inside(F.floor(pos(p))) | inside(F.ceil(pos(p)))))
     p_arr = F.array(*[F.lit(p) for p in probs])
-    pos = lambda p: p * (F.col("_n") - 1)
-    wanted = F.concat(F.transform(p_arr, lambda p: F.floor(pos(p))),
-                      F.transform(p_arr, lambda p: F.ceil(pos(p))))
-    hits = (d.withColumn("_start", start).withColumn("_end", end)
-             .where(F.exists(wanted, lambda r: (r >= F.col("_start")) & (r <= F.col("_end"))))
-             .select(*keys, "_v", "_n", "_start", "_end",
-                     F.posexplode(p_arr).alias("_i", "_p")))
+    hits = (ranked.where(hit)
+            .select(*keys, "_v", "_n", "_i", "_start", "_end", F.posexplode(p_arr).alias("_k", "_p"))
+            .where((F.col("_i") < 0) | (F.col("_i") == F.col("_k"))))
     pos_c = F.col("_p") * (F.col("_n") - 1)
     lo, hi = F.floor(pos_c), F.ceil(pos_c)
-    inside = lambda r: (r >= F.col("_start")) & (r <= F.col("_end"))
-    per_p = (hits.groupBy(*keys, "_i")
+    per_p = (hits.groupBy(*keys, "_k")
              .agg(F.max(F.when(inside(lo), F.col("_v"))).alias("_lo_v"),
                   F.max(F.when(inside(hi), F.col("_v"))).alias("_hi_v"),
                   F.first(pos_c).alias("_pos")))
     frac = F.col("_pos") - F.floor("_pos")
-    q = F.when(frac == 0, F.col("_lo_v")).otherwise(
+    q = F.when(F.col("_lo_v").isNull() | F.col("_hi_v").isNull(),
+               F.raise_error(F.lit("quantile bracket missed its rank; raise the sketch accuracy"))
+               .cast("double")).when(frac == 0, F.col("_lo_v")).otherwise(
         F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * frac)
     per_p = per_p.withColumn("_q", q)
     return per_p.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+        *[F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
 def median(df: DataFrame, value: ColumnLike, by: Sequence[str] = (), name: str = "median",

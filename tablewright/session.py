@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults applied only when the caller did not set them.
 _DEFAULTS = {
@@ -64,3 +64,12 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tablewright-{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: later passes reuse it instead of recomputing its lineage,
+    and a lost executor costs a re-read, not a recomputation."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
