@@ -12,8 +12,8 @@ task, and an ungrouped one into a single partition.)
 3. A *hot* group (more distinct values than that; there are at most
    ``distinct pairs / max_group_values`` of them) gets a
    ``percentile_approx`` sketch over its rows (bounded state per task).
-   For every wanted probability ``p`` the sketch values at ``p -/+ 3/accuracy``
-   bracket the target rank; an algebraic count gives the rows below the
+   For every wanted probability ``p`` the sketch values at ``p -/+ margin``
+   bracket the target rank (margin = sketch error + a few rows); an algebraic count gives the rows below the
    bracket, and only the bracket's values (about ``8 n / accuracy`` rows)
    are ranked exactly, one window partition per (group, p).  A bracket that
    misses its rank fails the job instead of answering wrongly.
@@ -85,7 +85,10 @@ def _exact(base: DataFrame, keys: list[str], probs: list[float], names: list[str
 
     # 3. brackets for hot groups only (one sketch per hot group)
     hot = sizes.where(F.col("_nd") > max_group_values).select(*keys)
-    margin = 3.0 / accuracy
+    # sketch rank error (n / accuracy) plus the sketch's own rank convention
+    # (about one row); a hot group has more than max_group_values rows, so
+    # 4 / max_group_values is at least 4 rows
+    margin = max(3.0 / accuracy, 4.0 / max_group_values)
     fractions = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     brackets = (base.join(hot, keys, "left_semi").groupBy(*keys)
                 .agg(F.percentile_approx("_v", fractions, accuracy).alias("_br")))
