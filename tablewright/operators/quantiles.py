@@ -9,9 +9,10 @@ task, and an ungrouped one into a single partition.)
    per group the number of distinct values and of rows.
 2. A group with at most ``max_group_values`` distinct values is ranked by one
    running-count window: a proven per-task bound.
-3. A *hot* group (more distinct values than that; there are at most
-   ``distinct pairs / max_group_values`` of them) gets a
-   ``percentile_approx`` sketch over its rows (bounded state per task).
+3. A *hot* group (more distinct values than that, and more than
+   ``1 / MAX_HOT_GROUPS`` of all distinct pairs -- so there are at most
+   ``MAX_HOT_GROUPS`` of them and their per-group tables are broadcast)
+   gets a ``percentile_approx`` sketch over its rows (bounded state).
    For every wanted probability ``p`` the sketch values at ``p -/+ margin``
    bracket the target rank (margin = sketch error + a few rows); an algebraic count gives the rows below the
    bracket, and only the bracket's values (about ``8 n / accuracy`` rows)
@@ -36,10 +37,18 @@ from pyspark.sql import functions as F
 from tablewright.functions.nulls import ColumnLike, col
 
 _G = "_tw_g"  # constant key used for an ungrouped request
+_ONE = "_tw_one"  # constant key attaching a one-row statistics frame
 MAX_GROUP_VALUES = 100_000
+MAX_HOT_GROUPS = 100_000
 SKETCH_ACCURACY = 100_000
 
 
+
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+          broadcast: bool = False) -> DataFrame:
+    return left.join(F.broadcast(right) if broadcast else right, keys, how)
+
+
 def quantile_name(p: float) -> str:
     """Output column name for probability ``p``: 0.25 -> q25, 0.05 -> q5, 0.125 -> q12_5."""
     text = f"{p * 100:.6f}".rstrip("0").rstrip(".")
@@ -79,20 +88,26 @@ def quantiles(df: DataFrame, value: ColumnLike, probs: Sequence[float],
 def _exact(base: DataFrame, keys: list[str], probs: list[float], names: list[str],
            max_group_values: int, accuracy: int) -> DataFrame:
     n_p = len(probs)
-    # 1. distinct values with multiplicity; per group distinct count and size
+    # 1. distinct values with multiplicity; per group the number of distinct values
     d = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), F.sum("_c").alias("_n"))
-
-    # 3. brackets for hot groups only (one sketch per hot group)
-    hot = sizes.where(F.col("_nd") > max_group_values).select(*keys)
+    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
+
+    # 3. hot groups: more distinct values than one task should rank, and more
+    #    than 1/MAX_HOT_GROUPS of all -- so there are at most MAX_HOT_GROUPS of
+    #    them and everything keyed by hot group is safe to broadcast
+    total = sizes.agg(F.sum("_nd").alias("_tot"))
+    hot = (attach(sizes, total)
+           .where((F.col("_nd") > max_group_values) & (F.col("_nd") * MAX_HOT_GROUPS > F.col("_tot")))
+           .select(*keys))
     # sketch rank error (n / accuracy) plus the sketch's own rank convention
     # (about one row); a hot group has more than max_group_values rows, so
     # 4 / max_group_values is at least 4 rows
     margin = max(3.0 / accuracy, 4.0 / max_group_values)
     fractions = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
-    brackets = (base.join(hot, keys, "left_semi").groupBy(*keys)
-                .agg(F.percentile_approx("_v", fractions, accuracy).alias("_br")))
-    below = (d.join(brackets, keys)
+    brackets = (_join(base, hot, keys, "left_semi", broadcast=True).groupBy(*keys)
+                .agg(F.percentile_approx("_v", fractions, accuracy).alias("_br"),
+                     F.count(F.lit(1)).alias("_hn")))
+    below = (_join(d, brackets, keys, broadcast=True)
              .groupBy(*keys)
              .agg(F.array(*[F.sum(F.when(F.col("_v") < F.col("_br")[i], F.col("_c")).otherwise(0))
                             for i in range(n_p)]).alias("_below")))
@@ -101,14 +116,15 @@ def _exact(base: DataFrame, keys: list[str], probs: list[float], names: list[str
     in_bracket = [F.when((F.col("_br")[i] <= F.col("_v")) & (F.col("_v") <= F.col("_br")[n_p + i]), F.lit(i))
                   for i in range(n_p)]
     slots = F.when(F.col("_br").isNull(), F.array(F.lit(-1))).otherwise(F.array(*in_bracket))
-    ranked = (d.join(brackets, keys, "left")
-              .select(*keys, "_v", "_c", F.explode(slots).alias("_i"))
+    ranked = (_join(d, brackets, keys, "left", broadcast=True)
+              .select(*keys, "_v", "_c", "_hn", F.explode(slots).alias("_i"))
               .where(F.col("_i").isNotNull()))
-    in_slot = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = (ranked.withColumn("_cum", F.sum("_c").over(in_slot))
-              .join(sizes.select(*keys, "_n"), keys)
-              .join(below, keys, "left"))
+    slot = Window.partitionBy(*keys, "_i")
+    ranked = (ranked
+              .withColumn("_cum", F.sum("_c").over(slot.orderBy("_v").rowsBetween(
+                  Window.unboundedPreceding, Window.currentRow)))
+              .withColumn("_n", F.coalesce(F.col("_hn"), F.sum("_c").over(slot))))
+    ranked = _join(ranked, below, keys, "left", broadcast=True)
     offset = F.when(F.col("_i") < 0, F.lit(0)).otherwise(F.col("_below")[F.col("_i")])
     ranked = ranked.withColumns({"_start": offset + F.col("_cum") - F.col("_c"),
                                  "_end": offset + F.col("_cum") - 1})
@@ -156,12 +172,16 @@ def iqr_bounds(df: DataFrame, value: ColumnLike, k: float = 1.5, by: Sequence[st
 def attach(df: DataFrame, small: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Attach per-group (or one global) statistics to every row.
 
-    The statistics side has one row per group; AQE turns the join into a
-    broadcast once it has measured that side, otherwise it stays a
-    sort-merge join (with skew splitting)."""
+    Per group: an equi-join on the group keys (AQE broadcasts the statistics
+    side once measured small, else sort-merge with skew splitting).  Global:
+    the single statistics row is broadcast to every task."""
     if by:
         return df.join(small, list(by), "left")
-    return df.withColumn(_G, F.lit(0)).join(small.withColumn(_G, F.lit(0)), _G, "left").drop(_G)
+    # ungrouped: exactly one statistics row, broadcast; Spark runs this as a
+    # broadcast nested-loop join against that single row (one partner per
+    # row, no shuffle of ``df``)
+    one = F.broadcast(small.withColumn(_ONE, F.lit(0)))
+    return df.withColumn(_ONE, F.lit(0)).join(one, _ONE, "left").drop(_ONE)
 
 
 def within(c: Column, lo: Column, hi: Column) -> Column:
