@@ -34,8 +34,10 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else (chosen.split(",") if chosen else HEADLINE)
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                        conf={"spark.driver.memory": "16g"})
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=parts,
+                        conf={"spark.driver.memory": "16g", **extra})
     times = {}
     for name in names:
         q = QUERIES[name]
@@ -49,7 +51,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs,
-                      "shuffle_partitions": cpus * 2}))
+                      "shuffle_partitions": parts}))
 
 
 if __name__ == "__main__":

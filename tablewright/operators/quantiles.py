@@ -136,24 +136,21 @@ def _exact(base: DataFrame, keys: list[str], probs: list[float], names: list[str
     hit = F.lit(False)
     for i, p in enumerate(probs):
         hit = hit | (relevant(i) & (inside(F.floor(pos(p))) | inside(F.ceil(pos(p)))))
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    hits = (ranked.where(hit)
-            .select(*keys, "_v", "_n", "_i", "_start", "_end", F.posexplode(p_arr).alias("_k", "_p"))
-            .where((F.col("_i") < 0) | (F.col("_i") == F.col("_k"))))
-    pos_c = F.col("_p") * (F.col("_n") - 1)
-    lo, hi = F.floor(pos_c), F.ceil(pos_c)
-    per_p = (hits.groupBy(*keys, "_k")
-             .agg(F.max(F.when(inside(lo), F.col("_v"))).alias("_lo_v"),
-                  F.max(F.when(inside(hi), F.col("_v"))).alias("_hi_v"),
-                  F.first(pos_c).alias("_pos")))
-    frac = F.col("_pos") - F.floor("_pos")
-    q = F.when(F.col("_lo_v").isNull() | F.col("_hi_v").isNull(),
-               F.raise_error(F.lit("quantile bracket missed its rank; raise the sketch accuracy"))
-               .cast("double")).when(frac == 0, F.col("_lo_v")).otherwise(
-        F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * frac)
-    per_p = per_p.withColumn("_q", q)
-    return per_p.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+    hits = ranked.where(hit)
+    aggs = []
+    for i, p in enumerate(probs):
+        aggs.append(F.max(F.when(relevant(i) & inside(F.floor(pos(p))), F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(relevant(i) & inside(F.ceil(pos(p))), F.col("_v"))).alias(f"_hi{i}"))
+    per_group = hits.groupBy(*keys).agg(F.max("_n").alias("_n"), *aggs)
+    missed = F.raise_error(F.lit("quantile bracket missed its rank; raise the sketch accuracy")).cast("double")
+
+    def interpolate(i: int, p: float) -> Column:
+        lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        frac = pos(p) - F.floor(pos(p))
+        return (F.when(lo_v.isNull() | hi_v.isNull(), missed)
+                .when(frac == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * frac))
+
+    return per_group.select(*keys, *[interpolate(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
 
 
 def median(df: DataFrame, value: ColumnLike, by: Sequence[str] = (), name: str = "median",
