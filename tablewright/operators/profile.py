@@ -150,7 +150,10 @@ def box_stats(df: DataFrame, value: ColumnLike, k: float = 1.5, refenced: bool =
         vals = materialize(vals, "box")
     if refenced:
         vals = iqr_filter(vals, "_v", k, method=method)
-    stats = quantiles(vals, "_v", [0.25, 0.5, 0.75], names=["q1", "median", "q3"], method=method)
+        if reuse_input:
+            vals = materialize(vals, "box-fenced")
+    stats = quantiles(vals, "_v", [0.25, 0.5, 0.75], names=["q1", "median", "q3"], method=method,
+                      reuse_input=not reuse_input)
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumns({"_lf": F.col("q1") - k * iqr, "_uf": F.col("q3") + k * iqr})
     inside = within(F.col("_v"), F.col("_lf"), F.col("_uf"))

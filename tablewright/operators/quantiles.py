@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.nulls import ColumnLike, col
+from tablewright.session import materialize
 
 _G = "_tw_g"  # constant key used for an ungrouped request
 _ONE = "_tw_one"  # constant key attaching a one-row statistics frame
@@ -59,11 +60,14 @@ def quantiles(df: DataFrame, value: ColumnLike, probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
               names: Sequence[str] | None = None,
               max_group_values: int = MAX_GROUP_VALUES,
-              accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+              accuracy: int = SKETCH_ACCURACY, reuse_input: bool = True) -> DataFrame:
     """One row per group of ``by`` with one double column per probability.
 
     Missing values (null, NaN) are skipped; a group without any value is
-    absent from the result."""
+    absent from the result.  The exact method reads its input twice (value
+    counts, and sketches of hot groups); ``reuse_input`` writes the narrow
+    projected ``(by, value)`` input once under the shared checkpoint folder
+    so an expensive upstream plan (joins) is not recomputed."""
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
@@ -79,6 +83,8 @@ def quantiles(df: DataFrame, value: ColumnLike, probs: Sequence[float],
                .agg(F.percentile_approx("_v", probs, accuracy).alias("_q"))
                .select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
     elif method == "exact":
+        if reuse_input:
+            base = materialize(base, "quantile-input")
         out = _exact(base, keys, probs, names, max_group_values, accuracy)
     else:
         raise ValueError(f"unknown method {method!r}")
