@@ -103,3 +103,24 @@ def test_group_median_min_size_and_topn(spark):
     assert g == {"a": (2, 2.0)}
     top = M.top_n(M.group_median(df, "k", "v"), "median", 1, tiebreak=["k"]).collect()
     assert top[0]["k"] == "b"
+
+
+def test_strict_date_parse_fails_on_bad_text(spark):
+    from tablewright.functions import dates as D
+    good = spark.createDataFrame([("2024-01-05",), (None,)], "s string")
+    assert [r[0] is None for r in good.select(D.parse_date_strict("s")).collect()] == [False, True]
+    bad = spark.createDataFrame([("2024-02-30",)], "s string")
+    with pytest.raises(Exception, match="unparseable date"):
+        bad.select(D.parse_date_strict("s")).collect()
+
+
+def test_enrich_stage_keeps_every_row(spark):
+    from tablewright.plans import stages
+    fact = spark.createDataFrame([("2024-01-05",), ("2024-01-20",), ("2024-05-01",)], "CloseDate string") \
+        .withColumn("CloseDate", F.col("CloseDate").cast("date"))
+    rates = spark.createDataFrame([("2024-01-04", 6.5), ("2024-01-25", 6.7)], "date string, rate_30yr_fixed double") \
+        .withColumn("date", F.col("date").cast("date"))
+    out = stages.enrich(fact, rates, "CloseDate").collect()
+    assert len(out) == 3
+    assert sorted((r["year_month"], r["rate_30yr_fixed"]) for r in out) == [
+        ("2024-01", pytest.approx(6.6)), ("2024-01", pytest.approx(6.6)), ("2024-05", None)]
