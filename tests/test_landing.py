@@ -87,3 +87,20 @@ def test_union_by_name_and_dedupe(spark):
     u = union_by_name([a, b])
     assert sorted(u.columns) == ["a", "b", "k"] and u.count() == 2
     assert dedupe_names(["a", "b", "a", "a", "a.1"]) == ["a", "b", "a.2", "a.3", "a.1"]
+
+
+def test_clean_is_idempotent_and_counts_add_up(spark, tmp_path):
+    from tablewright.operators import profile as P
+    d = _drop_folder(tmp_path)
+    sold = stages.combine(spark, d, "SOLD", types={"Id": "int", "ClosePrice": "double"})
+    sold = sold.withColumns({"LivingArea": F.lit(1.0), "Latitude": F.lit(None).cast("double"),
+                             "Longitude": F.lit(-118.0), "StateOrProvince": F.lit(None).cast("string")})
+    rules = {**stages.Q.invalid_numeric_rules(days=None, beds=None), **stages.Q.geo_rules()}
+    once = stages.clean(sold, numeric_rules=rules)
+    twice = stages.clean(once, numeric_rules=rules)
+    assert sorted(once.columns) == sorted(twice.columns)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    n = once.count()
+    for r in P.missing_report(once).collect():
+        present = once.where(F.col(f"`{r['column']}`").isNotNull()).count()
+        assert r["missing_count"] + present == n
