@@ -76,3 +76,25 @@ def test_property_hot_path_equals_bruteforce(spark, rows, p):
     for g in {g for g, _ in rows}:
         vals = np.array([v for k, v in rows if k == g], dtype=float)
         assert got[g] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
+
+
+def test_hot_path_on_fixture_matches_duckdb(spark):
+    import duckdb
+
+    from conftest import SF_SMALL
+    from tablewright.plans import fixtures as X
+
+    sales = X.sales(spark, SF_SMALL)
+    got = {r["county"]: (r["q5"], r["q50"], r["q95"]) for r in
+           quantiles(sales, "close_price", [0.05, 0.5, 0.95], by=["county"], max_group_values=20,
+                     accuracy=1000).collect()}
+    con = duckdb.connect()
+    for t in ["lineitem", "orders", "customer", "nation", "supplier"]:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    exp = {r[0]: r[1:] for r in con.sql(
+        f"WITH sales AS ({X.for_duckdb(X.SALES_SQL)}) SELECT county, quantile_cont(close_price, 0.05), "
+        "quantile_cont(close_price, 0.5), quantile_cont(close_price, 0.95) FROM sales "
+        "WHERE close_price IS NOT NULL GROUP BY county").fetchall()}
+    assert set(got) == set(exp)
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], rel=1e-12), k
