@@ -73,3 +73,19 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Session settings for a given input volume.
+
+    Scan splits and shuffle partitions of ~``partition_bytes`` keep every task's
+    working set well inside executor memory; the shuffle partition count is an
+    upper bound that AQE coalesces at run time, and AQE splits skewed
+    partitions above the same size."""
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(min(shuffle, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }

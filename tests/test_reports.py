@@ -124,3 +124,12 @@ def test_enrich_stage_keeps_every_row(spark):
     assert len(out) == 3
     assert sorted((r["year_month"], r["rate_30yr_fixed"]) for r in out) == [
         ("2024-01", pytest.approx(6.6)), ("2024-01", pytest.approx(6.6)), ("2024-05", None)]
+
+
+def test_sizing_scales_with_input():
+    from tablewright.session import sizing
+    small = sizing(10 * 1024 ** 3, 8)
+    big = sizing(100 * 1024 ** 4, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 40
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
