@@ -35,7 +35,7 @@ def read_header(spark: SparkSession, path: str, delimiter: str = ",") -> tuple[s
         line = reader.readLine() or ""
     finally:
         stream.close()
-    line = line.lstrip("﻿")
+    line = line.lstrip("\ufeff")  # byte-order mark
     return tuple(next(csv.reader(io.StringIO(line), delimiter=delimiter), []))
 
 

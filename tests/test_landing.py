@@ -104,3 +104,11 @@ def test_clean_is_idempotent_and_counts_add_up(spark, tmp_path):
     for r in P.missing_report(once).collect():
         present = once.where(F.col(f"`{r['column']}`").isNotNull()).count()
         assert r["missing_count"] + present == n
+
+
+def test_header_with_byte_order_mark(spark, tmp_path):
+    d = str(tmp_path)
+    with open(os.path.join(d, "SOLD202405.csv"), "w", encoding="utf-8-sig") as fh:
+        fh.write("Id,ClosePrice\n1,5\n")
+    landed = C.read_csv_landed(spark, FS.list_files(spark, d, "SOLD", ".csv"), types={"Id": "int"})
+    assert landed.columns == ["Id", "ClosePrice"] and landed.first()["Id"] == 1
