@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("mixing", "simhash")
+MODULES = ("mixing", "simhash", "bpe")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
