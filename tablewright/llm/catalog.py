@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("mixing", "simhash", "bpe")
+MODULES = ("quality", "simhash", "mixing", "licenses", "bpe")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
