@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablewright.session import materialize
+from tablewright import session
 
 #: The characters between words, as a class of Java's patterns (fixed value).
 SPACE = r"[\x20\x09-\x0D]"
@@ -16,6 +16,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back.  The
+    shuffle files of the job go as soon as it has ended: what was written
+    replaces them."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return session.materialize(df, name)
+    finally:
+        conf.set(key, before) if before is not None else conf.unset(key)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialize() that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = hadoop(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def word_list(text: Column) -> Column:
     """The words of a text column in order; an empty array for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
@@ -50,4 +73,5 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edge = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        last, edge = edge, materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(last)
