@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("quality", "simhash", "suffix", "mixing", "licenses", "bpe")
+MODULES = ("quality", "simhash", "suffix", "mixing", "forest", "licenses", "bpe")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
