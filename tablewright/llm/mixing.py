@@ -116,17 +116,16 @@ def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     """The mix itself: each document as often as the mix takes it whole, and
     once more its first words where the mix takes it in part.  Columns of
     ``docs``; ``n_chars``, where there is one, follows the text."""
-    columns = docs.columns
-    sized = docs.withColumn("size", word_count(F.col(text))) if "size" not in columns else docs
-    mixed = mix(sized, **options).where("taken > 0")
+    rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.struct(*docs.columns).alias("row"))
+    mixed = mix(rows, **options).where("taken > 0")
     whole = (F.col("taken") / F.col("size")).cast("long")
     rest = F.col("taken") % F.col("size")
-    times = mixed.withColumn("_n", F.explode(F.sequence(F.lit(1), whole + F.when(rest > 0, 1).otherwise(0))))
-    part = F.array_join(F.slice(F.split(F.btrim(F.col(text), F.lit(SPACES)), SPACE + "+"), 1, rest.cast("int")), " ")
-    out = times.withColumn(text, F.when(F.col("_n") > whole, part).otherwise(F.col(text)))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length(text).cast("long"))
-    return out.select(*columns)
+    times = mixed.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0))))
+    words = F.split(F.btrim(F.col(f"row.{text}"), F.lit(SPACES)), SPACE + "+")
+    part = F.array_join(F.slice(words, 1, rest.cast("int")), " ")
+    new = F.when(F.col("time") > whole, part).otherwise(F.col(f"row.{text}"))
+    changed = {text: new} | ({"n_chars": F.length(new).cast("long")} if "n_chars" in docs.columns else {})
+    return times.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

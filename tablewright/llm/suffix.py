@@ -258,12 +258,12 @@ def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the repeated passages of its texts.  A character that a
     span covers in part goes with it, so the text stays valid; ``n_chars``
     follows.  Null texts stay null."""
-    done = remove_spans(docs, repeated_spans(docs))
+    rows = docs.select("doc_id", F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+    done = remove_spans(rows, repeated_spans(rows.select("doc_id", "text")))
     whole = F.array_join(F.transform("kept", _whole_characters), "")
-    out = done.withColumn(text, F.when(F.size("spans") == 0, F.col(text)).otherwise(whole))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length(text).cast("long")))
-    return out.select(*docs.columns)
+    new = F.when(F.size("spans") == 0, F.col("text")).otherwise(whole)
+    changed = {text: new} | ({"n_chars": F.length(new).cast("long")} if "n_chars" in docs.columns else {})
+    return done.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def _whole_characters(piece: Column) -> Column:

@@ -51,8 +51,8 @@ def test_edge_rows_and_texts(spark, docs):
     d = docs.drop("size").withColumn("size", mixing.word_count(docs["text"]))
     rows = mixing.mix(d).collect()
     check(rows, [(r.doc_id, r.text, r.source) for r in rows])
-    mixed = mixing.mixed_documents(docs.drop("size"))
-    assert mixed.columns == docs.drop("size").columns
+    mixed = mixing.mixed_documents(docs.withColumn("taken", docs["doc_id"]))
+    assert mixed.columns == [*docs.columns, "taken"] and all(r.size == 1 and r.taken == r.doc_id for r in mixed.collect())
     words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in mixed.collect())
     assert words == sum(r.taken for r in rows)
 

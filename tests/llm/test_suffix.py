@@ -53,6 +53,7 @@ def test_edge_rows(spark, docs, tmp_path, monkeypatch):
     every.write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(map(tuple, suffix.op3_suffix(spark, str(tmp_path)).collect()), key=repr)
     assert got == brute(encoded(every.collect()), 200)
+    every = every.withColumnRenamed("fp", "spans")
     left = suffix.deduplicated(every)
     assert left.columns == every.columns
     texts = {r.doc_id: r.text for r in left.collect()}
