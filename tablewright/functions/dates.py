@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tablewright.functions.nulls import ColumnLike, col
 
@@ -21,6 +22,13 @@ def parse_date_strict(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:
         F.raise_error(F.concat(F.lit("unparseable date: "), c)).cast("date"))
 
 
+def strict_dates(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with the named text columns parsed by ``parse_date_strict``;
+    columns that are dates or timestamps already stay as they are."""
+    text = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: parse_date_strict(F.col(f"`{c}`")) for c in text}) if text else df
+
+
 def parse_date_coerce(c: ColumnLike, formats=("yyyy-MM-dd",)) -> Column:
     """Parse text to a date; text matching none of ``formats`` becomes null."""
     c = col(c)

@@ -9,24 +9,26 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.dates import month_key
 from tablewright.functions.nulls import ColumnLike, col
-from tablewright.operators.quantiles import quantiles
+from tablewright.operators.quantiles import null_safe_join, quantiles, quantiles_of, value_counts
 from tablewright.operators.schema import q
 
 
 def group_median(df: DataFrame, by: str | Sequence[str], value: ColumnLike, name: str = "median",
                  min_size: int | None = None, method: str = "exact") -> DataFrame:
-    """(by..., n, median) with missing keys dropped; ``min_size`` keeps groups
-    with at least that many non-missing values."""
+    """(by..., n, median) with missing keys dropped; ``n`` counts non-missing
+    values and ``min_size`` keeps groups with at least that many.  A group
+    whose values are all missing has n = 0 and a missing median."""
     by = [by] if isinstance(by, str) else list(by)
-    v = col(value).cast("double")
-    base = df.select(*[F.col(q(b)) for b in by], v.alias("_v"))
-    for b in by:
-        base = base.where(F.col(q(b)).isNotNull())
-    sizes = base.groupBy(*by).agg(F.count("_v").alias("n"))
+    med = quantiles(_with_keys(df, by), value, [0.5], by=by, names=[name], method=method, n_name="n")
     if min_size is not None:
-        sizes = sizes.where(F.col("n") >= min_size)
-    med = quantiles(base, "_v", [0.5], by=by, names=[name], method=method)
-    return sizes.join(med, by)
+        med = med.where(F.col("n") >= min_size)
+    return med.select(*[F.col(q(b)) for b in by], "n", name)
+
+
+def _with_keys(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    for b in by:
+        df = df.where(F.col(q(b)).isNotNull())
+    return df
 
 
 def top_n(df: DataFrame, measure: str, n: int, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -77,18 +79,21 @@ def new_vs_closed(listings: DataFrame, listing_date: ColumnLike, sales: DataFram
 
 def medians_by(df: DataFrame, by: Sequence[str], values: dict[str, ColumnLike],
                method: str = "exact") -> DataFrame:
-    """(by..., n, <name>...) medians of several values per group in one quantile
-    pass: the values are stacked to (metric, value) and grouped by metric too."""
-    pairs = [F.struct(F.lit(name).alias("_metric"), col(c).cast("double").alias("_v"))
+    """(by..., n, <name>...) medians of several values per group; ``n`` counts
+    the group's rows.  The values are stacked to (metric, value) and counted
+    by group and metric in one evaluation of ``df``; medians and ``n`` (all
+    rows of the first metric, missing values included) come from the counts."""
+    pairs = [F.struct(F.lit(name).alias("_metric"), col(c).cast("double").alias("_x"))
              for name, c in values.items()]
-    base = df.select(*[F.col(q(b)) for b in by], F.inline(F.array(*pairs)))
-    for b in by:
-        base = base.where(F.col(q(b)).isNotNull())
-    sizes = df.select(*[F.col(q(b)) for b in by])
-    for b in by:
-        sizes = sizes.where(F.col(q(b)).isNotNull())
-    sizes = sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    med = quantiles(base, "_v", [0.5], by=[*by, "_metric"], names=["_m"], method=method)
-    wide = med.groupBy(*by).agg(*[F.max(F.when(F.col("_metric") == name, F.col("_m"))).alias(name)
-                                  for name in values])
-    return sizes.join(wide, by, "left")
+    keys = [F.col(q(b)) for b in by]
+    base = _with_keys(df, by).select(*keys, F.inline(F.array(*pairs)))
+    if method != "exact":
+        med = quantiles(base, "_x", [0.5], by=[*by, "_metric"], names=["_m"], method=method)
+        sizes = _with_keys(df, by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counted = value_counts(base, "_x", [*by, "_metric"])
+        med = quantiles_of(counted, [0.5], [*by, "_metric"], ["_m"])
+        sizes = counted.where(F.col("_metric") == next(iter(values))).groupBy(*keys).agg(F.sum("_c").alias("n"))
+    wide = med.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == name, F.col("_m"))).alias(name)
+                                    for name in values])
+    return null_safe_join(sizes, wide, by)

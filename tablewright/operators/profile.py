@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.nulls import ColumnLike, col
-from tablewright.operators.quantiles import attach, iqr_bounds, quantiles, within
+from tablewright.operators.quantiles import attach, fence, iqr_bounds, quantiles, quantiles_of, value_counts, within
 from tablewright.operators.schema import column_metadata, q
-from tablewright.session import materialize
 
 DESCRIBE_PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -61,19 +60,25 @@ def numeric_summary(df: DataFrame, columns: Sequence[str],
     """Long summary (column, statistic, value): count, mean, std, min, p%, max.
 
     ``std`` is the sample standard deviation; percentiles interpolate
-    linearly.  All columns go through one aggregate and one quantile pass
-    (grouped by column), not one job per column."""
-    long = _long(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    basic = long.groupBy("column").agg(
-        F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    linearly.  All columns are counted by value in one evaluation of ``df``;
+    every statistic comes from those counts (grouped by column)."""
     labels = [f"{p * 100:g}%" for p in percentiles]
-    qs = quantiles(long, "value", percentiles, by=["column"], method=method,
-                   names=[f"_p{i}" for i in range(len(percentiles))])
-    wide = basic.join(qs, "column", "left")
+    names = [f"_p{i}" for i in range(len(percentiles))]
+    counted = value_counts(_long(df, columns), "value", ["column"])
+    present = counted.where(F.col("_v").isNotNull())
+    weight, v = F.col("_c"), F.col("_v")
+    basic = present.groupBy("column").agg(
+        F.sum(weight).alias("count"), (F.sum(v * weight) / F.sum(weight)).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    # around the mean, so that large values with small differences keep their digits
+    spread = attach(present, basic.select("column", "mean"), ["column"]).groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(weight * F.pow(v - F.col("mean"), F.lit(2))), F.sum(weight) - 1)).alias("std"))
+    qs = (quantiles_of(counted, percentiles, ["column"], names) if method == "exact"
+          else quantiles(_long(df, columns), "value", percentiles, ["column"], method, names))
+    wide = attach(attach(basic, spread, ["column"]), qs, ["column"])
     stats = [("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min")]
     stats += [(lab, f"_p{i}") for i, lab in enumerate(labels)] + [("max", "max")]
-    rows = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(c).alias("value")) for s, c in stats])
+    rows = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(c).cast("double").alias("value")) for s, c in stats])
     return wide.select("column", F.inline(rows))
 
 
@@ -82,10 +87,12 @@ def column_summary(df: DataFrame, column: str, method: str = "exact") -> DataFra
 
 
 def median_and_mean(df: DataFrame, value: ColumnLike, method: str = "exact") -> DataFrame:
-    v = col(value)
-    med = quantiles(df, v, [0.5], names=["median"], method=method)
-    mean = df.agg(F.avg(v.cast("double")).alias("mean"))
-    return attach(mean, med)
+    if method != "exact":
+        med = quantiles(df, value, [0.5], names=["median"], method=method)
+        return attach(df.agg(F.avg(col(value).cast("double")).alias("mean")), med)
+    counted = value_counts(df, value)
+    mean = counted.agg((F.sum(F.col("_v") * F.col("_c")) / F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")))).alias("mean"))
+    return attach(mean, quantiles_of(counted, [0.5], names=["median"]))
 
 
 def sign_shares(df: DataFrame, a: ColumnLike, b: ColumnLike) -> DataFrame:
@@ -108,24 +115,29 @@ def iqr_filter(df: DataFrame, value: ColumnLike, k: float = 1.5, by: Sequence[st
     return kept.drop("_tw_v", "_tw_lo", "_tw_hi")
 
 
+def _fenced(counted: DataFrame, k: float) -> DataFrame:
+    """The rows of a ``value_counts`` table inside their own fence."""
+    bounds = fence(quantiles_of(counted, [0.25, 0.75], names=["q1", "q3"]), k).select("lower", "upper")
+    return (attach(counted, bounds).where(within(F.col("_v"), F.col("lower"), F.col("upper")))
+            .drop("lower", "upper"))
+
+
 def histogram(spark: SparkSession, df: DataFrame, value: ColumnLike, bins: int = 50,
-              reuse_input: bool = True) -> DataFrame:
+              fence_k: float | None = None) -> DataFrame:
     """Equal-width histogram between min and max: (bin, bin_lo, bin_hi, count).
 
     The last bin is closed; empty bins are reported with count 0; a constant
-    column is widened by 0.5 on both sides.  ``reuse_input`` writes the
-    projected value column once (shared checkpoint folder) so the range and
-    the counting pass do not both recompute the input."""
-    v = col(value).cast("double")
-    vals = df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if reuse_input:
-        vals = materialize(vals, "histogram")
+    column is widened by 0.5 on both sides.  ``fence_k`` leaves out values
+    beyond ``fence_k`` quartile ranges first.  Fence, range and bins are taken
+    from one table of counted values."""
+    counted = value_counts(df, value)
+    vals = _fenced(counted, fence_k) if fence_k is not None else counted.where(F.col("_v").isNotNull())
     rng = vals.agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
     rng = rng.select(F.when(F.col("_a") == F.col("_b"), F.col("_a") - 0.5).otherwise(F.col("_a")).alias("_lo"),
                      F.when(F.col("_a") == F.col("_b"), F.col("_b") + 0.5).otherwise(F.col("_b")).alias("_hi"))
     idx = F.least(F.lit(bins).cast("bigint"),
                   F.floor((F.col("_v") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))) + 1)
-    counts = attach(vals, rng).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = attach(vals, rng).groupBy(idx.alias("bin")).agg(F.sum("_c").alias("count"))
     edges = attach(spark.range(1, bins + 1).withColumnRenamed("id", "bin"), rng)
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     edges = edges.select("bin", (F.col("_lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
@@ -136,34 +148,42 @@ def histogram(spark: SparkSession, df: DataFrame, value: ColumnLike, bins: int =
             .orderBy("bin"))
 
 
-def box_stats(df: DataFrame, value: ColumnLike, k: float = 1.5, refenced: bool = True,
-              method: str = "exact", reuse_input: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, value: ColumnLike, k: float = 1.5, refenced: bool = True) -> DataFrame:
     """Box-plot numbers: q1, median, q3, whiskers, outlier count.
 
     ``refenced=True`` draws the box from the fenced data, as a box plot of
-    the IQR-filtered values does; ``False`` uses all values.  The three
-    dependent passes (fence, quartiles, whiskers) read the projected value
-    column written once (``reuse_input``) instead of recomputing the input."""
-    v = col(value).cast("double")
-    vals = df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if reuse_input:
-        vals = materialize(vals, "box")
-    if refenced:
-        vals = iqr_filter(vals, "_v", k, method=method)
-        if reuse_input:
-            vals = materialize(vals, "box-fenced")
-    stats = quantiles(vals, "_v", [0.25, 0.5, 0.75], names=["q1", "median", "q3"], method=method,
-                      reuse_input=not reuse_input)
+    the IQR-filtered values does; ``False`` uses all values.  The dependent
+    steps (fence, quartiles, whiskers) read one table of counted values."""
+    counted = value_counts(df, value)
+    vals = _fenced(counted, k) if refenced else counted.where(F.col("_v").isNotNull())
+    stats = quantiles_of(vals, [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumns({"_lf": F.col("q1") - k * iqr, "_uf": F.col("q3") + k * iqr})
     inside = within(F.col("_v"), F.col("_lf"), F.col("_uf"))
     agg = attach(vals, stats).agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n"))
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("n_outliers"), F.sum("_c").alias("n"))
     return attach(stats.drop("_lf", "_uf"), agg)
 
 
+def nested_stage_counts(first: tuple[str, DataFrame], df: DataFrame,
+                        stages: Sequence[tuple[str, Column, int]]) -> DataFrame:
+    """``stage_counts`` of stages that narrow one frame: ``first`` is counted
+    by itself, the others by their predicates in one pass over ``df``.
+    ``stages``: (name, predicate, number of columns)."""
+    name, raw = first
+    kept = df.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(f"_s{i}") for i, (_, p, _) in enumerate(stages)])
+    row = lambda i, s, n, c: F.struct(F.lit(i).alias("step"), F.lit(s).alias("stage"), n.alias("n_rows"),
+                                      F.lit(c).alias("n_columns"))
+    both = attach(raw.agg(F.count(F.lit(1)).alias("_first")), kept)
+    rows = [row(0, name, F.col("_first"), len(raw.columns))]
+    rows += [row(i + 1, s, F.col(f"_s{i}"), c) for i, (s, _, c) in enumerate(stages)]
+    return (both.select("_first", F.inline(F.array(*rows)))
+            .withColumn("retained_pct", F.try_divide(F.col("n_rows"), F.col("_first")) * F.lit(100.0))
+            .drop("_first").orderBy("step"))
+
+
 def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(step, stage, n_rows, n_columns, retained_pct) with the first stage as 100 %."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.dates import month_key
 from tablewright.functions.nulls import ColumnLike, col
+from tablewright.operators.schema import q
 
 KEY = "year_month"
 
@@ -27,10 +28,16 @@ def monthly_mean(series: DataFrame, date: ColumnLike, value: ColumnLike,
 def join_monthly(fact: DataFrame, monthly: DataFrame, date: ColumnLike, key: str = KEY) -> DataFrame:
     """Left join of a monthly table onto every fact row by the month of ``date``.
 
-    The monthly side has at most one row per ``yyyy-MM`` key, a bound that
-    does not grow with the fact table (at most 12 rows per year), so it is
-    broadcast and the fact table is never shuffled."""
-    return with_month_key(fact, date, key).join(F.broadcast(monthly), key, "left")
+    Fact rows are kept one for one: a month that occurs twice in ``monthly``
+    fails the job instead of doubling rows.  The broadcast side has a proven
+    bound: keys that aren't ``yyyy-MM`` can't match and are left out, and a
+    key occurs once, so it has at most 12 rows for each of 9999 years."""
+    others = [c for c in monthly.columns if c != key]
+    once = (monthly.where(F.col(key).rlike("^[0-9]{4}-(0[1-9]|1[0-2])$")).groupBy(key)
+            .agg(F.count(F.lit(1)).alias("_times"), *[F.first(q(c)).alias(c) for c in others]))
+    twice = F.raise_error(F.concat(F.lit("month occurs more than once: "), F.col(key)))
+    once = once.where(F.when(F.col("_times") == 1, True).otherwise(twice.cast("boolean"))).drop("_times")
+    return with_month_key(fact, date, key).join(F.broadcast(once), key, "left")
 
 
 def join_validation(joined: DataFrame, value: str) -> DataFrame:

@@ -18,7 +18,7 @@ from tablewright.operators import profile as P
 from tablewright.operators import quality as Q
 from tablewright.operators import schema as S
 from tablewright.operators import timeseries as T
-from tablewright.operators.quantiles import quantiles
+from tablewright.operators.quantiles import null_safe_join, quantiles, quantiles_of, value_counts
 from tablewright.plans import fixtures as X
 from tablewright.session import scratch_dir
 from tablewright.sources import csv as C
@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SALES_CORE = ("property_type", "county", "zip", "list_price", "close_price", "living_area", "bedrooms",
               "bathrooms", "days_on_market", "close_date", "purchase_date", "listing_date",
               "latitude", "longitude")
-SALES_METADATA = ("l_orderkey", "l_linenumber", "agent")
+SALES_METADATA = ("l_orderkey", "l_linenumber", "agent", "office")
 SUMMARY_COLUMNS = ("list_price", "close_price", "living_area", "bedrooms", "bathrooms",
                    "days_on_market", "latitude", "longitude")
 DATE_COLUMNS = ("listing_date", "purchase_date", "close_date")
@@ -72,19 +72,22 @@ def month_version_select(spark, sf):
 def _orders_csv_variant(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
-        F.col("o_custkey").cast("string").alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.col("o_custkey"), F.lit(".0")))
+         .otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
         F.when(F.col("o_orderkey") % 11 == 0, "NA").when(F.col("o_orderkey") % 11 == 1, "null")
          .otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
-        F.when(F.col("o_orderkey") % 13 == 0, "N/A")
+        F.when(F.col("o_orderkey") % 13 == 0, "N/A").when(F.col("o_orderkey") % 13 == 1, "NAN")
          .otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
         F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
-        F.col("o_orderpriority"),
+        F.when(F.col("o_orderkey") % 17 == 0, F.concat(F.lit("two\nlines, "), F.col("o_orderpriority")))
+         .otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
         (F.month("o_orderdate") % 2 == 0).alias("_even"))
 
 
 def csv_typed_scan(spark, sf):
     """orders written as CSV under two drifting headers (with missing
-    tokens), then landed header group by header group and typed."""
+    tokens, NaN, integers as ``7.0`` and line ends in quotes), then landed header
+    group by header group and typed."""
     src = _orders_csv_variant(X.table(spark, sf, "orders"))
     folder = scratch_dir(spark, "csv")
     write_table(src.where("_even").drop("_even"), f"{folder}/even", fmt="csv")
@@ -95,6 +98,14 @@ def csv_typed_scan(spark, sf):
     return C.read_csv_landed(spark, paths, types=types)
 
 
+def series_csv_scan(spark, sf):
+    """The rate series written as CSV, then landed with its date column parsed."""
+    folder = write_table(X.rate_series(spark, sf), scratch_dir(spark, "series"), fmt="csv")
+    series = C.read_csv_landed(spark, FS.list_files(spark, folder, suffix=".csv"), types={"value": "double"})
+    series = D.strict_dates(S.rename_positional(series, ["date", "rate"]), "date")
+    return T.monthly_mean(series, "date", "rate").withColumn("rate", r4("rate"))
+
+
 def sink_roundtrip(spark, sf):
     data = T.with_month_key(X.sales(spark, sf), "close_date").select(
         "l_orderkey", "l_linenumber", "close_price", "close_date", "year_month")
@@ -133,7 +144,7 @@ def column_profile(spark, sf):
 
 
 def dtype_counts(spark, sf):
-    return P.dtype_counts(column_profile(spark, sf))
+    return P.dtype_counts(S.column_metadata(spark, X.sales(spark, sf)))
 
 
 def missing_report(spark, sf):
@@ -167,8 +178,7 @@ def quartiles(spark, sf):
 
 
 def histogram_bins(spark, sf):
-    fenced = P.iqr_filter(X.sales(spark, sf), "close_price")
-    h = P.histogram(spark, fenced, "close_price", 50)
+    h = P.histogram(spark, X.sales(spark, sf), "close_price", 50, fence_k=1.5)
     return h.select("bin", r4("bin_lo").alias("bin_lo"), r4("bin_hi").alias("bin_hi"), "count")
 
 
@@ -199,13 +209,13 @@ def price_vs_list_share(spark, sf):
 
 
 def stage_counts(spark, sf):
-    raw = X.table(spark, sf, "lineitem")
     sales = X.sales(spark, sf)
-    residential = sales.where(F.col("property_type") == "R")
-    enriched = T.join_monthly(residential, _monthly_rates(spark, sf), "close_date")
+    enriched = T.join_monthly(sales, _monthly_rates(spark, sf), "close_date")
     cleaned = Q.apply_flags(enriched, _sales_flag_rules())
-    c = P.stage_counts([("raw", raw), ("joined", sales), ("residential", residential),
-                        ("enriched", enriched), ("cleaned", cleaned)])
+    residential = F.col("property_type") == "R"
+    c = P.nested_stage_counts(("raw", X.table(spark, sf, "lineitem")), cleaned, [
+        ("joined", F.lit(True), len(sales.columns)), ("residential", residential, len(sales.columns)),
+        ("enriched", residential, len(enriched.columns)), ("cleaned", residential, len(cleaned.columns))])
     return c.withColumn("retained_pct", r4("retained_pct"))
 
 
@@ -247,6 +257,13 @@ def monthly_rate_join(spark, sf):
     return j.select("l_orderkey", "l_linenumber", "close_date", "year_month", r4("rate").alias("rate"))
 
 
+def listings_rate_join(spark, sf):
+    """The listings side of the enrichment: its key is the listing date, as text here."""
+    listings = X.sales(spark, sf).select("l_orderkey", "l_linenumber", F.col("listing_date").cast("string").alias("listing_date"))
+    j = T.join_monthly(D.strict_dates(listings, "listing_date"), _monthly_rates(spark, sf), "listing_date")
+    return j.select("l_orderkey", "l_linenumber", "listing_date", "year_month", r4("rate").alias("rate"))
+
+
 def join_unmatched_by_month(spark, sf):
     j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date")
     return T.unmatched_by_month(j, "rate")
@@ -320,9 +337,12 @@ def outlier_flag(spark, sf):
 # -- KPIs --------------------------------------------------------------------
 
 def _valid_sales(spark, sf):
-    s = Q.apply_flags(X.sales(spark, sf), Q.invalid_numeric_rules(
-        "close_price", "living_area", None, None, None))
-    return s.where(~F.col("invalid_close_price") & ~F.col("invalid_living_area"))
+    """Rows without any of the invalid-number flags."""
+    rules = Q.invalid_numeric_rules("close_price", "living_area", "days_on_market", "bedrooms", "bathrooms")
+    s = Q.apply_flags(X.sales(spark, sf), rules)
+    for flag in rules:
+        s = s.where(~F.col(flag))
+    return s
 
 
 def price_per_unit_median(spark, sf):
@@ -332,7 +352,7 @@ def price_per_unit_median(spark, sf):
 
 
 def sale_to_list_by_month(spark, sf):
-    s = T.with_month_key(X.sales(spark, sf), "close_date").withColumn(
+    s = T.with_month_key(_valid_sales(spark, sf), "close_date").withColumn(
         "sale_to_list", M.ratio("close_price", "list_price"))
     g = M.group_median(s, "year_month", "sale_to_list", name="median_sale_to_list")
     return g.withColumn("median_sale_to_list", r4("median_sale_to_list"))
@@ -348,6 +368,11 @@ def top_agents(spark, sf):
     return M.top_n(v, "volume", 10, tiebreak=["agent"])
 
 
+def top_offices(spark, sf):
+    v = M.volume_by(X.sales(spark, sf), "office", "close_price").withColumn("volume", r4("volume"))
+    return M.top_n(v, "volume", 10, tiebreak=["office"])
+
+
 def top_agents_by_month(spark, sf):
     s = T.with_month_key(X.sales(spark, sf), "close_date")
     v = M.volume_by(s, "agent", "close_price", per=["year_month"]).withColumn("volume", r4("volume"))
@@ -362,6 +387,14 @@ def regional_trend(spark, sf):
                     r4("median_days_on_market").alias("median_days_on_market"))
 
 
+def zip_trend(spark, sf):
+    s = T.with_month_key(X.sales(spark, sf), "close_date")
+    m = M.medians_by(s, ["zip", "year_month"],
+                     {"median_close_price": "close_price", "median_days_on_market": "days_on_market"})
+    return m.select("zip", "year_month", "n", r4("median_close_price").alias("median_close_price"),
+                    r4("median_days_on_market").alias("median_days_on_market"))
+
+
 def monthly_medians(spark, sf):
     s = T.with_month_key(X.sales(spark, sf), "close_date")
     m = M.medians_by(s, ["year_month"],
@@ -378,22 +411,24 @@ def flagship(spark, sf):
     flagged = Q.apply_flags(enriched, Q.date_order_rules("listing_date", "purchase_date", "close_date"))
     consistent = flagged.where(~(F.col("listing_after_close_flag") | F.col("purchase_after_close_flag")
                                  | F.col("negative_timeline_flag")))
-    med = M.group_median(consistent, "county", "close_price", name="median_close_price")
-    rate = consistent.where(F.col("county").isNotNull()).groupBy("county").agg(F.avg("rate").alias("avg_rate"))
-    out = med.join(rate, "county").select("county", "n", r4("median_close_price").alias("median_close_price"),
-                                          r4("avg_rate").alias("avg_rate"))
+    # medians, counts and mean rates from one evaluation of the joined rows
+    counted = value_counts(consistent.where(F.col("county").isNotNull()), "close_price", ["county"], sums={"rates": "rate"})
+    med = quantiles_of(counted, [0.5], ["county"], ["median_close_price"], n_name="n")
+    rate = counted.groupBy("county").agg(F.try_divide(F.sum("rates"), F.sum("rates_n")).alias("avg_rate"))
+    out = null_safe_join(med, rate, ["county"]).select(
+        "county", "n", r4("median_close_price").alias("median_close_price"), r4("avg_rate").alias("avg_rate"))
     return M.top_n(out, "median_close_price", 10, tiebreak=["county"])
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
-    flagship, month_version_select, csv_typed_scan, sink_roundtrip, union_by_name, drop_columns,
+    flagship, month_version_select, csv_typed_scan, series_csv_scan, sink_roundtrip, union_by_name, drop_columns,
     drop_repeated_columns, column_profile, dtype_counts, missing_report, high_missing_columns,
     date_missing_counts, filter_category, filtered_count, iqr_filter, quartiles, histogram_bins,
     box_stats, numeric_summary, column_summary, global_median_mean, price_vs_list_share,
     stage_counts, category_share, group_median_topk, group_median_min_size, latest_n, month_key,
-    monthly_mean, monthly_rate_join, join_unmatched_by_month, join_validation, date_parse_coerce,
+    monthly_mean, monthly_rate_join, listings_rate_join, join_unmatched_by_month, join_validation, date_parse_coerce,
     date_parse_strict, month_year_parts, invalid_numeric_flags, date_order_flags, geo_flags,
     flag_summary, listing_flag_summary, suffix_flag_summary, future_date_flag, outlier_flag,
-    price_per_unit_median, sale_to_list_by_month, new_vs_closed, top_agents, top_agents_by_month,
-    regional_trend, monthly_medians,
+    price_per_unit_median, sale_to_list_by_month, new_vs_closed, top_agents, top_offices, top_agents_by_month,
+    regional_trend, zip_trend, monthly_medians,
 ]}

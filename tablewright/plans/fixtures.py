@@ -18,9 +18,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Transactions with deterministic nulls, zeros, negatives, bad coordinates,
 # outliers and a 95 %-null column.  Roles: property_type = return flag,
-# county = nation name, agent = supplier name.
+# county = nation name, agent = supplier name, office = a group of suppliers.
 SALES_SQL = """
 SELECT l_orderkey, l_linenumber, l_returnflag AS property_type, n_name AS county, s_name AS agent,
+  CASE WHEN l_suppkey % 29 = 0 THEN NULL ELSE 'OFFICE_' || CAST(l_suppkey % 37 AS STRING) END AS office,
   CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE l_partkey % 40 END AS zip,
   l_extendedprice AS list_price,
   CASE WHEN l_partkey % 97 = 0 THEN CAST(0 AS DOUBLE) WHEN l_partkey % 89 = 0 THEN NULL

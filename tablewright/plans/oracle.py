@@ -24,7 +24,7 @@ W_SALES_RATES = _with(sales=SALES, rates=RATES)
 
 SALES_TYPES = {
     "l_orderkey": "bigint", "l_linenumber": "int", "property_type": "string", "county": "string",
-    "agent": "string", "zip": "bigint", "list_price": "double", "close_price": "double",
+    "agent": "string", "office": "string", "zip": "bigint", "list_price": "double", "close_price": "double",
     "living_area": "double", "bedrooms": "int", "bathrooms": "int", "days_on_market": "int",
     "close_date": "date", "purchase_date": "date", "listing_date": "date", "latitude": "double",
     "longitude": "double", "state": "string", "sparse": "double",
@@ -133,7 +133,7 @@ SQL: dict[str, str] = {
                  OR {FLAG_EXPR['negative_timeline_flag']}))
 SELECT county, count(close_price) AS n, round(quantile_cont(close_price, 0.5), 4) AS median_close_price,
        round(avg(rate), 4) AS avg_rate
-FROM c WHERE county IS NOT NULL GROUP BY county HAVING count(close_price) > 0
+FROM c WHERE county IS NOT NULL GROUP BY county
 ORDER BY median_close_price DESC NULLS LAST, county LIMIT 10
 """,
     "month_version_select": _with(ev=for_duckdb(EVENT_FILES_SQL)) + """
@@ -146,11 +146,13 @@ SELECT event_id, user_id, event_type, value, file_name FROM ev WHERE file_name I
     "csv_typed_scan": """
 SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 11 IN (0, 1) THEN NULL ELSE o_orderstatus END AS o_orderstatus,
-  CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 13 IN (0, 1) THEN NULL ELSE o_totalprice END AS o_totalprice,
   CAST(o_orderdate AS DATE) AS o_orderdate,
-  CASE WHEN month(o_orderdate) % 2 = 0 THEN o_orderpriority END AS o_orderpriority
+  CASE WHEN month(o_orderdate) % 2 = 0 THEN CASE WHEN o_orderkey % 17 = 0 THEN 'two' || chr(10) || 'lines, ' || o_orderpriority
+       ELSE o_orderpriority END END AS o_orderpriority
 FROM orders
 """,
+    "series_csv_scan": f"SELECT year_month, round(rate, 4) AS rate FROM ({RATES})",
     "sink_roundtrip": W_SALES + """
 SELECT l_orderkey, l_linenumber, close_price, close_date, strftime(close_date, '%Y-%m') AS year_month FROM sales
 """,
@@ -192,11 +194,11 @@ SELECT round(count(*) FILTER (WHERE close_price - list_price > 0) / count(*) * 1
     "stage_counts": W_SALES_RATES + """
 , st AS (
   SELECT 0 AS step, 'raw' AS stage, count(*) AS n_rows, 11 AS n_columns FROM lineitem
-  UNION ALL SELECT 1, 'joined', count(*), 19 FROM sales
-  UNION ALL SELECT 2, 'residential', count(*), 19 FROM sales WHERE property_type = 'R'
-  UNION ALL SELECT 3, 'enriched', count(*), 21 FROM sales s LEFT JOIN rates r
+  UNION ALL SELECT 1, 'joined', count(*), 20 FROM sales
+  UNION ALL SELECT 2, 'residential', count(*), 20 FROM sales WHERE property_type = 'R'
+  UNION ALL SELECT 3, 'enriched', count(*), 22 FROM sales s LEFT JOIN rates r
             ON strftime(s.close_date, '%Y-%m') = r.year_month WHERE property_type = 'R'
-  UNION ALL SELECT 4, 'cleaned', count(*), 33 FROM sales s LEFT JOIN rates r
+  UNION ALL SELECT 4, 'cleaned', count(*), 34 FROM sales s LEFT JOIN rates r
             ON strftime(s.close_date, '%Y-%m') = r.year_month WHERE property_type = 'R')
 SELECT step, stage, n_rows, n_columns,
        round(n_rows / (SELECT n_rows FROM st WHERE step = 0) * 100.0, 4) AS retained_pct FROM st
@@ -208,7 +210,7 @@ FROM sales WHERE property_type IS NOT NULL GROUP BY property_type
 """,
     "group_median_topk": W_SALES + """
 SELECT county, count(close_price) AS n, round(quantile_cont(close_price, 0.5), 4) AS median
-FROM sales WHERE county IS NOT NULL GROUP BY county HAVING count(close_price) > 0
+FROM sales WHERE county IS NOT NULL GROUP BY county
 ORDER BY median DESC NULLS LAST, county LIMIT 10
 """,
     "group_median_min_size": f"""
@@ -221,6 +223,10 @@ FROM lineitem GROUP BY l_partkey HAVING count(l_extendedprice) >= {K.MIN_GROUP_S
     "monthly_rate_join": W_SALES_RATES + """
 SELECT l_orderkey, l_linenumber, close_date, strftime(close_date, '%Y-%m') AS year_month, round(r.rate, 4) AS rate
 FROM sales s LEFT JOIN rates r ON strftime(s.close_date, '%Y-%m') = r.year_month
+""",
+    "listings_rate_join": W_SALES_RATES + """
+SELECT l_orderkey, l_linenumber, listing_date, strftime(listing_date, '%Y-%m') AS year_month, round(r.rate, 4) AS rate
+FROM sales s LEFT JOIN rates r ON strftime(s.listing_date, '%Y-%m') = r.year_month
 """,
     "join_unmatched_by_month": W_SALES_RATES + """
 SELECT strftime(close_date, '%Y-%m') AS year_month, count(*) AS n_rows, count(*) FILTER (WHERE r.rate IS NULL) AS n_unmatched
@@ -270,14 +276,14 @@ FROM sales, b
 SELECT county, count(close_price / living_area) AS n,
        round(quantile_cont(close_price / living_area, 0.5), 4) AS median_price_per_unit
 FROM sales
-WHERE NOT coalesce(close_price <= 0, false) AND NOT coalesce(living_area <= 0, false) AND county IS NOT NULL
-GROUP BY county HAVING count(close_price / living_area) > 0
-""",
+WHERE {valid} AND county IS NOT NULL
+GROUP BY county
+""".format(valid=" AND ".join(f"NOT {FLAG_EXPR[n]}" for n in NUMERIC)),
     "sale_to_list_by_month": W_SALES + """
 SELECT strftime(close_date, '%Y-%m') AS year_month, count(close_price / list_price) AS n,
        round(quantile_cont(close_price / list_price, 0.5), 4) AS median_sale_to_list
-FROM sales WHERE close_date IS NOT NULL GROUP BY 1 HAVING count(close_price / list_price) > 0
-""",
+FROM sales WHERE {valid} AND close_date IS NOT NULL GROUP BY 1
+""".format(valid=" AND ".join(f"NOT {FLAG_EXPR[n]}" for n in NUMERIC)),
     "new_vs_closed": """
 WITH a AS (SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(*) AS new_listings FROM orders GROUP BY 1),
 b AS (SELECT strftime(l_shipdate, '%Y-%m') AS year_month, count(*) AS closed_sales FROM lineitem GROUP BY 1)
@@ -288,6 +294,10 @@ FROM a FULL OUTER JOIN b ON a.year_month = b.year_month
     "top_agents": W_SALES + """
 SELECT agent, round(sum(close_price), 4) AS volume, count(*) AS n_sales FROM sales
 WHERE agent IS NOT NULL GROUP BY agent ORDER BY volume DESC NULLS LAST, agent LIMIT 10
+""",
+    "top_offices": W_SALES + """
+SELECT office, round(sum(close_price), 4) AS volume, count(*) AS n_sales FROM sales
+WHERE office IS NOT NULL GROUP BY office ORDER BY volume DESC NULLS LAST, office LIMIT 10
 """,
     "top_agents_by_month": W_SALES + """
 , v AS (SELECT strftime(close_date, '%Y-%m') AS year_month, agent, round(sum(close_price), 4) AS volume,
@@ -297,5 +307,7 @@ WHERE rank <= 3
 """,
     "regional_trend": MEDIANS_BY.format(ctes=W_SALES, keys="county, year_month",
                                         notnull="county IS NOT NULL AND year_month IS NOT NULL"),
+    "zip_trend": MEDIANS_BY.format(ctes=W_SALES, keys="zip, year_month",
+                                   notnull="zip IS NOT NULL AND year_month IS NOT NULL"),
     "monthly_medians": MEDIANS_BY.format(ctes=W_SALES, keys="year_month", notnull="year_month IS NOT NULL"),
 }

@@ -45,20 +45,21 @@ LISTING_DATE_COLUMNS = ("ListingContractDate", "ContractStatusChangeDate")
 def combine(spark: SparkSession, folder: str, prefix: str, types: Mapping[str, str] | None = None,
             suffix: str = ".csv", pick_versions: bool = True, preferred: str = "_filled",
             drop: Sequence[str] = FILLED_EXTRA_COLUMNS, category_col: str | None = "PropertyType",
-            category: str | None = "Residential") -> DataFrame:
+            category: str | None = "Residential", **csv_options) -> DataFrame:
     """Land one family of monthly extracts (``<prefix>YYYYMM[...]<suffix>``).
 
     With ``pick_versions`` a month with several files keeps one (the last
     ``preferred`` name, else the first); without it every file is loaded.
     The category filter (missing category excluded) runs after the union
-    and is pushed into each scan by the optimizer."""
+    and is pushed into each scan by the optimizer.  ``csv_options`` go to
+    ``read_csv_landed``."""
     paths = FS.list_files(spark, folder, prefix, suffix)
     if pick_versions:
-        chosen = FS.select_versions(FS.manifest(spark, paths), "file_path",
-                                    key_pattern=rf"{prefix}(\d{{6}})", preferred=preferred)
+        chosen = FS.select_versions(FS.manifest(spark, paths), "file_name", carry="file_path",
+                                    key_pattern=FS.period_pattern(prefix), preferred=preferred)
         # the chosen names are needed to plan the scans: one small row per month
         paths = sorted(r[0] for r in chosen.select("file_path").collect())
-    df = C.read_csv_landed(spark, paths, types=types, drop=drop)
+    df = C.read_csv_landed(spark, paths, types=types, drop=drop, **csv_options)
     if category_col and category is not None:
         df = df.where(F.col(S.q(category_col)) == category)
     return df
@@ -66,7 +67,11 @@ def combine(spark: SparkSession, folder: str, prefix: str, types: Mapping[str, s
 
 def enrich(fact: DataFrame, rates: DataFrame, date_col: str, rate_date: str = "date",
            rate_value: str = "rate_30yr_fixed") -> DataFrame:
-    """Left-join the monthly mean of a (weekly) rate series onto every row."""
+    """Left-join the monthly mean of a (weekly) rate series onto every row.
+
+    Dates given as text are parsed strictly on both sides: text that is no
+    date fails the job instead of losing its rate."""
+    fact, rates = D.strict_dates(fact, date_col), D.strict_dates(rates, rate_date)
     monthly = T.monthly_mean(rates, rate_date, rate_value, name=rate_value)
     return T.join_monthly(fact, monthly, date_col)
 

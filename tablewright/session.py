@@ -8,8 +8,10 @@ loss of any executor.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +55,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # one machine, one process
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tablewright-ckpt-")
     sc.setCheckpointDir(configured)
@@ -69,10 +71,41 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: later passes reuse it instead of recomputing its lineage,
-    and a lost executor costs a re-read, not a recomputation."""
+    and a lost executor costs a re-read, not a recomputation.
+
+    Runs a job when called.  ``discard_scratch`` deletes what was written."""
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _written.append(path)
+    # With the schema at hand no job has to read a footer.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def discard_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the scratch tables written since the first ``keep`` ones of this
+    process; call it when the results that read them have been consumed.
+    Returns how many went."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = _written[keep:]
+    del _written[keep:]
+    for path in gone:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(gone)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A block at whose end the scratch tables written in it are deleted:
+    consume results (write, collect) inside."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        discard_scratch(spark, before)
 
 
 def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
@@ -85,7 +118,7 @@ def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024
     shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(min(shuffle, 200_000)),
+        "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
     }

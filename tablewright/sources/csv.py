@@ -16,14 +16,17 @@ from collections import OrderedDict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegralType, StringType, StructField, StructType
 
-from tablewright.functions.nulls import DEFAULT_NA_TOKENS, missing_token_to_null
+from tablewright.functions.nulls import DEFAULT_NA_TOKENS, missing_token_to_null, nan_to_null
 from tablewright.operators.schema import dedupe_names, drop_columns, q, union_by_name
 
 
+EXTRA = "_tw_extra"
+
+
 def read_header(spark: SparkSession, path: str, delimiter: str = ",") -> tuple[str, ...]:
     """Column names of the first line of one file (Hadoop file system)."""
     jvm = spark.sparkContext._jvm
@@ -50,29 +53,71 @@ def group_by_header(spark: SparkSession, paths: Sequence[str], delimiter: str =
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, DataType | str]) -> DataFrame:
-    """``try_cast`` the named columns (text that does not parse becomes null)."""
+    """Cast the named columns; text that does not parse becomes null.
+
+    A column of whole numbers with gaps is often written as ``3.0``: for an
+    integer type, text that is a whole number in any decimal form counts.  NaN
+    in any spelling becomes null, so no NaN survives landing."""
     present = [c for c in types if c in df.columns]
-    return df.withColumns({c: F.col(q(c)).try_cast(types[c]) for c in present}) if present else df
+    return df.withColumns({c: typed(F.col(q(c)), types[c]) for c in present}) if present else df
+
+
+def typed(text: Column, kind: DataType | str) -> Column:
+    kind = _parse(kind) if isinstance(kind, str) else kind
+    out = text.try_cast(kind)
+    if isinstance(kind, IntegralType):
+        number = text.try_cast("decimal(38,9)")
+        return F.coalesce(out, F.when(number == F.floor(number), number).try_cast(kind))
+    return nan_to_null(out) if isinstance(kind, (DoubleType, FloatType)) else out
+
+
+def _parse(kind: str) -> DataType:
+    return StructType.fromDDL(f"c {kind}")["c"].dataType
+
+
+def cast_failures(df: DataFrame, types: Mapping[str, DataType | str]) -> DataFrame:
+    """(column, n_failed) for text columns of ``df``: texts that ``cast_columns``
+    would turn into null, in one pass."""
+    present = [c for c in types if c in df.columns]
+    counts = df.agg(*[F.count_if(F.col(q(c)).isNotNull() & typed(F.col(q(c)), types[c]).isNull()).alias(f"_f{i}")
+                      for i, c in enumerate(present)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_f{i}").alias("n_failed"))
+                                            for i, c in enumerate(present)])))
 
 
 def read_csv_landed(spark: SparkSession, paths: Sequence[str], types: Mapping[str, DataType | str] | None = None,
                     na_tokens: Sequence[str] = DEFAULT_NA_TOKENS, drop: Sequence[str] = (),
-                    delimiter: str = ",", multiline: bool = False, file_name_col: str | None = None) -> DataFrame:
+                    delimiter: str = ",", multiline: bool = True, file_name_col: str | None = None,
+                    extra_fields: str = "fail") -> DataFrame:
     """Land CSV files with possibly different headers into one typed frame.
 
     Absent columns are null, repeated header names become ``X.1``;
     columns named in ``drop`` are removed per file group (unknown names
-    ignored); ``types`` casts by name, other columns stay text."""
+    ignored); ``types`` casts by name, other columns stay text.
+
+    Quoted fields may hold line ends; ``multiline=False`` lets Spark split
+    large files where that is known not to occur.  A line with more fields than
+    its header fails the job when it is read; ``extra_fields="drop"`` leaves such
+    lines out, and ``"keep"`` reads them without what is too much."""
+    if extra_fields not in ("fail", "drop", "keep"):
+        raise ValueError(f"extra_fields: {extra_fields!r}")
     groups = group_by_header(spark, list(paths), delimiter)
     frames = []
     for header, files in groups.items():
         names = dedupe_names([h if h else f"Unnamed: {i}" for i, h in enumerate(header)])
-        schema = StructType([StructField(n, StringType()) for n in names])
+        # One more column than the header has: it shows lines with too many fields.
+        extra = [StructField(EXTRA, StringType())] if extra_fields != "keep" else []
+        schema = StructType([*[StructField(n, StringType()) for n in names], *extra])
         df = (spark.read.schema(schema)
               .option("header", True).option("enforceSchema", True)
               .option("sep", delimiter).option("quote", '"').option("escape", '"')
               .option("multiLine", multiline).option("mode", "PERMISSIVE")
               .csv(files))
+        if extra_fields == "drop":
+            df = df.where(F.col(EXTRA).isNull()).drop(EXTRA)
+        elif extra:
+            bad = F.raise_error(F.concat(F.lit("more fields than the header: "), F.col("_metadata.file_name")))
+            df = df.where(F.when(F.col(EXTRA).isNull(), True).otherwise(bad.cast("boolean"))).drop(EXTRA)
         if file_name_col:
             df = df.withColumn(file_name_col, F.col("_metadata.file_name"))
         df = drop_columns(df, drop)

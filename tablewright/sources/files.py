@@ -7,6 +7,8 @@ aggregate over *names*, so it works the same on a listing and on the
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -38,22 +40,34 @@ def manifest(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def select_versions(names: DataFrame, name_col: str = "file_name", key_pattern: str = r"(\d{6})",
                     preferred: str = "_filled", prefix: str = "", suffix: str = "",
-                    key: str = "period") -> DataFrame:
+                    key: str = "period", carry: str | None = None) -> DataFrame:
     """One file name per period key.
 
     In sorted name order the first file of a period is taken and any later
     name containing ``preferred`` replaces it; so the result is the *last*
     preferred name if there is one, else the *first* name.  Names without a
-    key (``key_pattern`` group 1) or outside prefix/suffix are dropped."""
+    key (``key_pattern`` group 1) or outside prefix/suffix are dropped.
+
+    The decision is taken on ``name_col``, which must be the bare name: a
+    folder may contain a period or the preferred mark, too.  ``carry`` names a
+    column (the path) that comes along with the chosen name."""
     n = F.col(q(name_col))
-    cands = (names.select(n.alias("_name")).where(F.col("_name").isNotNull())
+    with_it = F.col(q(carry)) if carry else n
+    cands = (names.select(n.alias("_name"), with_it.alias("_with")).where(F.col("_name").isNotNull())
              .where(F.col("_name").startswith(prefix) & F.col("_name").endswith(suffix))
-             .select("_name", F.regexp_extract("_name", key_pattern, 1).alias(key))
+             .select("_name", "_with", F.regexp_extract("_name", key_pattern, 1).alias(key))
              .where(F.col(key) != "")
              .distinct())
     pref = F.col("_name").contains(preferred)
-    return (cands.groupBy(key)
-            .agg(F.coalesce(F.max(F.when(pref, F.col("_name"))), F.min("_name")).alias(name_col)))
+    chosen = F.struct(F.col("_name"), F.col("_with"))
+    picked = cands.groupBy(key).agg(F.coalesce(F.max(F.when(pref, chosen)), F.min(chosen)).alias("_pick"))
+    out = [F.col(key), F.col("_pick._name").alias(name_col)]
+    return picked.select(*out, *([F.col("_pick._with").alias(carry)] if carry else []))
+
+
+def period_pattern(prefix: str) -> str:
+    """The month after a literal prefix, in the bare name of a file."""
+    return f"^{re.escape(prefix)}([0-9]{{6}})"
 
 
 def keep_selected(rows: DataFrame, selected: DataFrame, name_col: str = "file_name") -> DataFrame:

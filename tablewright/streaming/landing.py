@@ -34,14 +34,18 @@ SOURCE = "_source_file"
 
 def land_batch(spark: SparkSession, new_paths: Sequence[str], out_path: str, prefix: str,
                key_pattern: str | None = None, preferred: str = "_filled",
-               types: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> list[str]:
-    """Land one batch of new files; returns the periods rewritten."""
-    key_pattern = key_pattern or rf"{prefix}(\d{{6}})"
+               types: Mapping[str, str] | None = None, drop: Sequence[str] = (), **csv_options) -> list[str]:
+    """Land one batch of new files; returns the periods rewritten.
+
+    A period whose chosen file has no rows loses its old partition.  Months
+    may have different columns: read the output with ``mergeSchema``
+    (``read_landed``)."""
+    key_pattern = key_pattern or FS.period_pattern(prefix)
     manifest_path = f"{out_path}/_manifest"
     FS.manifest(spark, list(new_paths)).write.mode("append").parquet(manifest_path)
     everything = spark.read.parquet(manifest_path).distinct()
-    chosen = FS.select_versions(everything, "file_path", key_pattern=key_pattern, preferred=preferred,
-                                key=PERIOD)
+    chosen = FS.select_versions(everything, "file_name", key_pattern=key_pattern, preferred=preferred,
+                                key=PERIOD, carry="file_path")
     touched = (FS.manifest(spark, list(new_paths))
                .select(F.regexp_extract("file_name", key_pattern, 1).alias(PERIOD))
                .where(F.col(PERIOD) != "").distinct())
@@ -50,11 +54,22 @@ def land_batch(spark: SparkSession, new_paths: Sequence[str], out_path: str, pre
     if not plan:
         return []
     landed = C.read_csv_landed(spark, sorted(r["file_path"] for r in plan), types=types, drop=drop,
-                               file_name_col=SOURCE)
+                               file_name_col=SOURCE, **csv_options)
     landed = landed.withColumn(PERIOD, F.regexp_extract(SOURCE, key_pattern, 1))
     (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PERIOD).parquet(out_path))
-    return sorted(r[PERIOD] for r in plan)
+    periods = sorted(r[PERIOD] for r in plan)
+    kept = {r[0] for r in landed.select(PERIOD).distinct().collect()}  # at most one row per touched period
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for period in set(periods) - kept:
+        old = jvm.org.apache.hadoop.fs.Path(f"{out_path}/{PERIOD}={period}")
+        old.getFileSystem(conf).delete(old, True)
+    return periods
+
+
+def read_landed(spark: SparkSession, out_path: str) -> DataFrame:
+    """The landed table with the columns of all months."""
+    return spark.read.option("mergeSchema", True).parquet(out_path)
 
 
 def start_landing(spark: SparkSession, folder: str, prefix: str, out_path: str,

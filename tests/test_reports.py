@@ -131,5 +131,5 @@ def test_sizing_scales_with_input():
     small = sizing(10 * 1024 ** 3, 8)
     big = sizing(100 * 1024 ** 4, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 40
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600  # 100 TiB in partitions of 256 MiB
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
