@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tablewright.plans.catalog import QUERIES  # noqa: E402
-from tablewright.session import get_session  # noqa: E402
+from tablewright.session import get_session, scratch  # noqa: E402
 
 HEADLINE = [
     "flagship", "monthly_rate_join", "flag_summary", "missing_report", "numeric_summary",
@@ -44,7 +44,8 @@ def main() -> None:
         samples = []
         for i in range(runs + 1):
             t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            with scratch(spark):
+                q(spark, sf_dir).write.format("noop").mode("overwrite").save()
             if i:  # the first pass is the warm-up
                 samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 from tablewright.plans import catalog, oracle
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def _key(v):

@@ -12,7 +12,7 @@ from tablewright.operators import timeseries as T
 from tablewright.plans import catalog
 from tablewright.plans import fixtures as X
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def _plan(df):

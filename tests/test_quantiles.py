@@ -110,7 +110,7 @@ def test_property_equals_bruteforce(spark, rows, p):
 def test_fixture_matches_duckdb(spark):
     import duckdb
 
-    from conftest import SF_SMALL
+    from tables import SF_SMALL
     from tablewright.plans import fixtures as X
 
     sales = X.sales(spark, SF_SMALL)
