@@ -118,8 +118,8 @@ def _signed(x: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Every row's ``doc_id``, ``fp`` (long), hash of its text and
-    ``component_id``, the smallest id of its group."""
+    """Every row's ``doc_id``, ``fp`` (long), hash of its text, ``component_id``,
+    the smallest id of its group, and ``root``, its group's smallest fingerprint."""
     marked = materialize(docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                                      fingerprints(F.col("text"), shingle).alias("fp")), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
@@ -127,15 +127,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = materialize(rooted.join(ids, "root").select("fp", "component_id"), "classes")
+    classes = materialize(rooted.join(ids, "root").select("fp", "root", "component_id"), "classes")
     return marked.join(classes, "fp")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one row of each group: that of the smallest
-    id (among rows with the same id, the one with the smallest text hash)."""
+    id (among rows with the same id, the one with the smallest text hash; in a
+    group without ids, any row without id by the same rule)."""
     found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.groupBy(F.col("doc_id").alias("_id")).agg(F.min("text_hash").alias("_hash"))
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))).alias("k"))
+    kept = kept.select("k.*")
     alone = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
     return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
             .withColumn("_n", F.row_number().over(alone)).where("_n = 1").select(*docs.columns))

@@ -53,6 +53,9 @@ def test_edge_rows(spark, docs):
     classes = {c for _, _, c in found(docs)}
     assert kept.count() == len(classes)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    nameless = spark.createDataFrame([(None, "one text that stands alone"), (None, "another one, quite unlike it"), (None, None)],
+                                     "doc_id long, text string")
+    assert simhash.one_of_each(nameless.unionByName(nameless)).count() == 3
 
 
 @pytest.mark.parametrize("most", [1, 3, 130])
