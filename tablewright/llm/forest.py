@@ -6,8 +6,8 @@ close vectors rarely part, and several trees catch those that do.  Vectors of
 one label that share a leaf are compared, in double precision, and those with
 cosine ``LEAST`` or more are linked and united.
 
-The cuts are fitted on a sample of at most ``SAMPLE`` vectors (one hash order,
-all labels); every vector is indexed, and the depth follows the largest label,
+The cuts are fitted on a sample of at most ``SAMPLE`` vectors (by hash, of all
+labels); every vector is indexed, and the depth follows the largest label,
 so leaves keep their size as the input grows: below the depth that the sample
 supports, cuts are the medians of the whole sample in the level's direction.
 
@@ -162,12 +162,16 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     # Ids given once, to a written table: they stay the same for every later reading.
     distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("node"), "label",
                                            F.size("embedding").alias("dim"), "embedding", "copies", "first"), "numbered")
-    largest = distinct.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(F.max("n").alias("n")).collect()
+    largest = distinct.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(
+        F.max("n").alias("largest"), F.sum("n").alias("all")).collect()  # a row for each length of vectors
     found = None
-    for dim, n in sorted(map(tuple, largest)):
+    for dim, n, every in sorted(map(tuple, largest)):
         depth = max(0, int(np.ceil(np.log2(n / LEAF))))
         some = distinct.where(F.col("dim") == dim)
-        sample = [r[0] for r in some.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").collect()] if depth else []
+        # By hash: half of SAMPLE is expected of a large input, SAMPLE is the bound.
+        share = 1000 if every <= SAMPLE else 500 * SAMPLE / every
+        drawn = some.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(1_000_000)) < int(1000 * share))
+        sample = [r[0] for r in drawn.select("embedding").limit(SAMPLE).collect()] if depth else []
         forest = fit(_unit(sample) if sample else np.zeros((0, dim)), depth)
         part = materialize(_indexed(some.select("node", "label", "dim", "embedding", "copies"), dim, forest, depth)
                            .withColumn("leaf", F.explode("leaves")), "leaves")
@@ -201,4 +205,16 @@ def op7_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_forest": op7_forest}
-SQL: dict[str, str] = {}
+#: For small tables: all pairs within a label.
+OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON r.other = l.x),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT low.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, low.vec_id = component_id AS kept FROM low LEFT JOIN n ON n.x = low.vec_id"""
+
+SQL = {"op7_forest": OP7_SQL}

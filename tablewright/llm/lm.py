@@ -16,7 +16,7 @@ Everything gathered covers the whole training part: token counts and counts of
 class triples are grouped sums.  Training passes over all triples: each
 partition takes a pass from the shared parameters, and the partitions' results
 are averaged, weighted by their tokens (``ROUNDS`` times).  Counts of the
-``HEAD`` commonest tokens (a fixed number) are broadcast, counts of the others
+``HEAD`` commonest tokens (at most so many) are broadcast, counts of the others
 joined to the documents that hold them.
 
 Defined results: a null or empty text is its end token alone; a null id is in
@@ -226,6 +226,19 @@ def triple_counts(docs: DataFrame, classes: Classes, text: str = "text") -> Data
     return docs.select(text).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def commonest(vocabulary: DataFrame, most: int) -> DataFrame:
+    """The words above a count that at most ``most`` words reach, found from the
+    number of words by sixteenth of an octave of their count (some 1000 rows)."""
+    step = F.floor(16 * F.log2("c"))
+    total, cut = 0, None
+    for r in sorted(vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r.step):
+        total += r.n
+        if total > most:
+            break
+        cut = r.step
+    return vocabulary.where(step >= cut) if cut is not None else vocabulary.limit(0)
+
+
 # --- the operator --------------------------------------------------------------
 
 _tables: dict[str, tuple] = {}
@@ -241,7 +254,7 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     total, types = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
 
     # The commonest tokens (HEAD at most) and first bytes (CLASSES at most).
-    head = [(bytes(r.word), r.c) for r in vocabulary.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
+    head = sorted(((bytes(r.word), r.c) for r in commonest(vocabulary, HEAD).collect()), key=lambda x: (-x[1], x[0]))
     own = [END, *(w for w, _ in head[:OWN] if w != END)][:OWN]
     rest = vocabulary.join(F.broadcast(spark.createDataFrame([(bytearray(w),) for w in own], "word binary")), "word", "left_anti")
     by_start = rest.groupBy(F.substring("word", 1, 2).alias("start")).agg(F.sum("c").alias("c"), F.count("*").alias("types"))
