@@ -57,15 +57,20 @@ NOTICES = (
 )
 
 
-def template_grams(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
-    """One row per k-gram of a template: its hash ``h``, its words, template ``t``, ``label``, place ``q``, ``whole`` k-grams."""
+def _template_rows(phrases, notices) -> str:
+    """The k-grams of the templates as rows of SQL."""
     rows = []
     for t, (label, text) in enumerate((*phrases, *notices)):
         words = text.split()
         whole = len(words) - GRAM + 1
-        rows += [f"('{' '.join(words[q:q + GRAM])}', {t}, '{label}', {q}L, {whole}L, {str(t < len(phrases)).lower()})"
-                 for q in range(whole)]
-    grams = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS g(words, t, label, q, whole, phrase)")
+        rows += [f"('{' '.join(words[q:q + GRAM])}', {t}, '{label}', CAST({q} AS BIGINT), CAST({whole} AS BIGINT), "
+                 f"{str(t < len(phrases)).lower()})" for q in range(whole)]
+    return ", ".join(rows)
+
+
+def template_grams(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
+    """One row per k-gram of a template: its hash ``h``, its words, template ``t``, ``label``, place ``q``, ``whole`` k-grams."""
+    grams = spark.sql(f"SELECT * FROM VALUES {_template_rows(phrases, notices)} AS g(words, t, label, q, whole, phrase)")
     return grams.withColumn("h", F.xxhash64("words"))
 
 
@@ -133,4 +138,30 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_licenses": op9_licenses}
-SQL: dict[str, str] = {}
+#: The same method over word lists.
+OP9_SQL = rf"""
+WITH g(gram, t, label, q, whole, phrase) AS (VALUES {_template_rows(PHRASES, NOTICES)}),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{BREAK}'),
+                                 lambda x: x <> '') AS w FROM documents),
+grams AS (SELECT doc_id, p, w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS gram
+          FROM (SELECT doc_id, w, unnest(range(0, len(w) - 2)) AS p FROM d)),
+votes AS (SELECT doc_id, t, label, whole, phrase, p - q AS diagonal, q, p FROM grams JOIN g USING (gram)),
+diagonals AS (SELECT doc_id, t, label, whole, phrase, diagonal, list(DISTINCT q) AS places, min(p) AS first, max(p) + {GRAM} AS behind
+              FROM votes GROUP BY ALL),
+turns AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER o > {NEAR} OR first - lag(behind) OVER o > whole, true)::INT AS new
+          FROM diagonals WHERE NOT phrase WINDOW o AS (PARTITION BY doc_id, t ORDER BY diagonal)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, t ORDER BY diagonal) AS run FROM turns),
+merged AS (SELECT doc_id, label, phrase, whole, min(first) AS first, max(behind) AS behind,
+                  len(list_distinct(flatten(list(places)))) / whole AS share FROM runs GROUP BY doc_id, t, label, phrase, whole, run),
+spans AS (SELECT doc_id, label, phrase, first, 1.0::DOUBLE AS share FROM diagonals WHERE phrase AND len(places) = whole
+          UNION ALL SELECT doc_id, label, phrase, first, share FROM merged
+          WHERE share >= {COVERAGE} AND behind - first <= {STRETCH} * (whole + {GRAM})),
+per AS (SELECT doc_id, count(*) FILTER (WHERE phrase) AS n_base, min(first) FILTER (WHERE phrase) AS first_word,
+               max(first) FILTER (WHERE phrase) AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase) AS base_labels,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM spans GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN per USING (doc_id)"""
+
+SQL = {"op9_licenses": OP9_SQL}
