@@ -133,3 +133,11 @@ def test_sizing_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 40
     assert int(big["spark.sql.shuffle.partitions"]) == 409_600  # 100 TiB in partitions of 256 MiB
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_columns_by_pattern(spark):
+    from tablewright.operators import schema as S
+
+    df = spark.createDataFrame([(1, True, 2)], "`a.b` int, x_flag boolean, c int")
+    assert S.select_matching(df, r"_flag$|\.").columns == ["a.b", "x_flag"]
+    assert S.select_matching(df, "nothing").columns == []
