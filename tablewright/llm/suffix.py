@@ -97,8 +97,6 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
                          *(pa.array(c.astype(np.int64)) for c in columns[1:])],
                         names=["doc_id", "text_hash", "key", "start", "n", "anchor"])
                     parts, source = [], []
-            if parts:
-                raise AssertionError("a batch ends with its last row")
 
     schema = "doc_id long, text_hash long, key long, start long, n long, anchor long"
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary")).mapInArrow(run, schema)
@@ -135,14 +133,20 @@ def _strings_of(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _merged(strings: DataFrame, length: int) -> DataFrame:
-    """(digest, places) of the strings that share a place with another: hashes
-    are partitioned, and each task merges its strings bucket by bucket."""
+    """(digest, ranges) of the strings that share a place with another, as ranges
+    (first, last) of repeated starts: hashes are partitioned, and each task merges
+    its strings bucket by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merge(some):
             places = repeated_places([s for _, _, s in some], length)
-            found = [(d, p.tolist()) for (_, d, _), p in zip(some, places) if len(p)]
-            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()),
-                                               pa.array([p for _, p in found], pa.list_(pa.int64()))], names=["digest", "places"])
+            found = []
+            for (_, digest, _), p in zip(some, places):
+                if len(p):
+                    gap = np.flatnonzero(np.diff(p) > 1)
+                    found.append((digest, p[np.append(0, gap + 1)].tolist(), p[np.append(gap, len(p) - 1)].tolist()))
+            kinds = [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)],
+                                              names=["digest", "first", "last"])
 
         held, size = [], 0
         for batch in batches:
@@ -156,24 +160,26 @@ def _merged(strings: DataFrame, length: int) -> DataFrame:
             yield merge(held)
 
     return (strings.select("key", "digest", "string").repartition("key").sortWithinPartitions("key")
-            .mapInArrow(run, "digest binary, places array<long>"))
+            .mapInArrow(run, "digest binary, first array<long>, last array<long>")
+            .select("digest", F.arrays_zip("first", "last").alias("ranges")))
 
 
 def _halved(strings: DataFrame, length: int, gram: int) -> DataFrame:
-    """(digest, places) like ``_merged`` by grouped counts of ever shorter ranges
+    """(digest, ranges) like ``_merged`` by grouped counts of ever shorter ranges
     of starts.  A range [r, r + size) is of distances from a start to its window."""
     most = length - gram + 1
     size = 1
     while size * SPLIT < most:
         size *= SPLIT
-    ranges = strings.withColumn("r", F.explode(F.array(*[F.lit(r).cast("long") for r in range(0, most, size)])))
+    ends = (F.col("lead") - F.col("n") + 1, F.col("lead"))  # distances that a string has
+    ranges = strings.withColumn("r", F.explode(F.filter(F.array(*[F.lit(r).cast("long") for r in range(0, most, size)]),
+                                                        lambda r: (r <= ends[1]) & (r + size > ends[0]))))
     found = []
     while True:
         low, high = F.col("r"), F.least(F.col("r") + size, F.lit(most))  # distances
-        has_low, has_high = F.greatest(low, F.col("lead") - F.col("n") + 1), F.least(high, F.col("lead") + 1)
-        rows = ranges.where(has_low < has_high)
+        has_low, has_high = F.greatest(low, ends[0]), F.least(high, ends[1] + 1)
         cut = lambda a, b: F.expr("substring(string, cast(_a + 1 as int), cast(_b - _a as int))")  # noqa: E731, ARG005
-        rows = rows.withColumns({"_a": F.col("lead") - low, "_b": F.col("lead") - high + 1 + length})
+        rows = ranges.withColumns({"_a": F.col("lead") - low, "_b": F.col("lead") - high + 1 + length})
         rows = rows.withColumn("core", F.unhex(F.md5(cut("_a", "_b"))))
         rows = rows.withColumns({"_a": F.col("lead") - high + 1, "_b": F.col("lead") - low + length})
         whole = (has_low == low) & (has_high == high)
@@ -185,37 +191,42 @@ def _halved(strings: DataFrame, length: int, gram: int) -> DataFrame:
         judged = rows.join(groups, ["key", "r", "core"])
         settled = (F.col("strings") == 1) | ((F.col("wholes") == F.col("strings")) & F.col("alike"))
         found.append(materialize(judged.where(settled & (F.col("total") > 1)).select(
-            "digest", F.sequence(F.col("lead") - has_high + 1, F.col("lead") - has_low).alias("places")), "found"))
+            "digest", F.struct((F.col("lead") - has_high + 1).alias("first"), (F.col("lead") - has_low).alias("last")).alias("range")),
+            "found"))
         if size == 1:
             discard(rows)
             break
         rest = judged.where(~settled).select(*strings.columns, "r")
         last, size = size, size // SPLIT
-        rest = materialize(rest.withColumn("r", F.explode(F.transform(
-            F.sequence(F.lit(0), F.lit(last // size - 1)), lambda i: F.col("r") + i * size))), "rest")  # noqa: B023
+        parts = F.transform(F.sequence(F.lit(0), F.lit(last // size - 1)), lambda i: F.col("r") + i * size)  # noqa: B023
+        rest = materialize(rest.withColumn("r", F.explode(F.filter(
+            parts, lambda r: (r <= ends[1]) & (r + size > ends[0]) & (r < most)))), "rest")  # noqa: B023
         discard(rows)
         ranges = rest
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.groupBy("digest").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+    return out.groupBy("digest").agg(F.collect_list("range").alias("ranges"))
 
 
-def _spans(places: Column, length: int) -> Column:
-    """Sorted disjoint spans (first, behind) covered by the strings at sorted starts."""
-    first = F.filter(F.transform(places, lambda p, i: F.when((i == 0) | (p - F.get(places, i - 1) > length), p)),
-                     lambda p: p.isNotNull())
-    last = F.filter(F.transform(places, lambda p, i: F.when((i == F.size(places) - 1) | (F.get(places, i + 1) - p > length), p)),
-                    lambda p: p.isNotNull())
+def _spans(ranges: Column, length: int) -> Column:
+    """Sorted disjoint spans (first, behind) covered by the strings at sorted ranges of starts."""
+    some = lambda x: x.isNotNull()
+    first = F.filter(F.transform(ranges, lambda r, i: F.when(
+        (i == 0) | (r["first"] - F.get(ranges, i - 1)["last"] > length), r["first"])), some)
+    last = F.filter(F.transform(ranges, lambda r, i: F.when(
+        (i == F.size(ranges) - 1) | (F.get(ranges, i + 1)["first"] - r["last"] > length), r["last"])), some)
     return F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), (b + length).alias("behind")))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, text_hash, spans) for every text of ``docs`` (doc_id, text) that has repeats."""
     every = materialize(_runs_of(docs.select("doc_id", "text"), length, gram), "runs")
-    shared = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", (F.col("c") > CROWD).alias("crowd"))
+    # Written before the join: its two sides are then dealt for the join alone, which can split a hot hash.
+    shared = materialize(every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(
+        "key", (F.col("c") > CROWD).alias("crowd")), "shared")
     hits = materialize(every.join(shared, "key"), "hits")
-    discard(every)
+    discard(every, shared)
     wanted = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "n", "anchor", "key", "crowd")).alias("runs"))
     texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.col("text").cast("binary").alias("raw"))
     met = texts.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
@@ -229,14 +240,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     several = one.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     several = one.join(several, "key")
     partly = _merged(several.where("not crowd"), length).unionByName(_halved(several.where("crowd"), length, gram))
-    throughout = one.where("copies > 1").select("digest", F.sequence(F.lit(0).cast("long"), F.col("n") - 1).alias("places"))
+    span = F.struct(F.lit(0).cast("long").alias("first"), (F.col("n") - 1).alias("last"))
+    throughout = one.where("copies > 1").select("digest", F.array(span).alias("ranges"))
     partly = partly.join(throughout.select("digest"), "digest", "left_anti")
-    places = partly.unionByName(throughout)
-    per = (strings.select("doc_id", "text_hash", "start", "digest").distinct().join(places, "digest")
-           .select("doc_id", "text_hash", F.transform("places", lambda p: p + F.col("start")).alias("places"))
-           .groupBy("doc_id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places")))
-    found = materialize(per.select("doc_id", "text_hash", F.transform(F.array("places"), lambda p: _spans(p, length))[0]
+    ranges = materialize(partly.unionByName(throughout), "ranges")
+    moved = F.transform("ranges", lambda r: F.struct((r["first"] + F.col("start")).alias("first"),
+                                                     (r["last"] + F.col("start")).alias("last")))
+    per = (strings.select("doc_id", "text_hash", "start", "digest").distinct().join(ranges, "digest")
+           .select("doc_id", "text_hash", moved.alias("ranges"))
+           .groupBy("doc_id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges")))
+    found = materialize(per.select("doc_id", "text_hash", F.transform(F.array("ranges"), lambda r: _spans(r, length))[0]
                                    .alias("spans")), "spans")
+    discard(ranges)
     discard(strings, one)
     return found
 
@@ -284,4 +299,20 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_suffix": op3_suffix}
-SQL: dict[str, str] = {}
+#: For small tables: every 200-byte string is a row.
+OP3_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS raw FROM documents),
+starts AS (SELECT r, unnest(range(0, octet_length(raw) - 199)) AS i, raw FROM d WHERE octet_length(raw) >= 200),
+strings AS (SELECT r, i, array_slice(raw, i + 1, i + 200) AS s FROM starts),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS n FROM strings) WHERE n > 1),
+turns AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 200, true)::INT AS new FROM twice),
+runs AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM turns),
+spans AS (SELECT r, min(i) AS first, max(i) + 200 AS behind FROM runs GROUP BY r, run),
+lists AS (SELECT r, list(first ORDER BY first) AS f, list(behind ORDER BY first) AS b, sum(behind - first) AS gone FROM spans GROUP BY r),
+cut AS (SELECT doc_id, raw, octet_length(raw) AS n, list_concat(coalesce(f, []), [octet_length(raw)]) AS f,
+               list_concat([0], coalesce(b, [])) AS b, coalesce(gone, 0) AS gone FROM d LEFT JOIN lists USING (r))
+SELECT doc_id, n::BIGINT AS n_bytes, gone::BIGINT AS n_removed, (len(f) - 1)::BIGINT AS n_spans,
+       sha256(unhex(array_to_string(list_transform(range(1, len(f) + 1), lambda k: hex(array_slice(raw, b[k] + 1, f[k]))), ''))) AS kept_sha256
+FROM cut"""
+
+SQL = {"op3_suffix": OP3_SQL}
