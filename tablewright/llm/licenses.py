@@ -10,7 +10,8 @@ template on one diagonal prove the template word for word, and a merged span
 counts if it holds most of the template within little more than its length.
 
 The templates are fixed and small, so they are broadcast; the k-grams of the
-texts stream past them and only matches are shuffled, keyed by document.
+texts are hashed and tested against their hashes within the row, and only
+k-grams that have a partner become rows of the join, keyed by document.
 Everything is a DataFrame expression.
 
 Defined results: null and empty texts have no words and no labels (empty
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tablewright.llm.common import table
+from tablewright.llm.common import materialize, table
 
 GRAM = 3
 #: Diagonals at most so far apart belong to one span; share of a template's k-grams and of its length that verify it.
@@ -71,15 +72,21 @@ def _template_rows(phrases, notices) -> str:
 def template_grams(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """One row per k-gram of a template: its hash ``h``, its words, template ``t``, ``label``, place ``q``, ``whole`` k-grams."""
     grams = spark.sql(f"SELECT * FROM VALUES {_template_rows(phrases, notices)} AS g(words, t, label, q, whole, phrase)")
-    return grams.withColumn("h", F.xxhash64("words"))
+    return grams.withColumn("h", F.xxhash64(*(F.split("words", " ")[k] for k in range(GRAM))))
 
 
-def _grams(words: Column) -> Column:
-    """The k-grams (word place, words) of a list of words, and one entry without words that holds their number."""
-    every = F.transform(words, lambda x, i: F.struct(i.cast("long").alias("p"), F.concat_ws(
-        " ", x, *(F.get(words, i + k) for k in range(1, GRAM))).alias("words")))
-    count = F.struct(F.size(words).cast("long").alias("p"), F.lit(None).cast("string").alias("words"))
-    return F.concat(F.slice(every, 1, F.greatest(F.size(words) - (GRAM - 1), F.lit(0))), F.array(count))
+def _grams(words: Column, known: list[int]) -> Column:
+    """The k-grams (word place, hash, words) of a list of words whose hash is in
+    ``known``, and one entry without words that holds their number."""
+    def with_words(places: Column) -> Column:
+        return F.transform(places, lambda p: F.struct(
+            p.cast("long").alias("p"), F.xxhash64(*(F.get(words, p + k) for k in range(GRAM))).alias("h"),
+            F.concat_ws(" ", *(F.get(words, p + k) for k in range(GRAM))).alias("words")))
+
+    rolling = F.transform(words, lambda x, i: F.when(
+        F.xxhash64(x, *(F.get(words, i + k) for k in range(1, GRAM))).isin(known), i))
+    count = F.struct(F.size(words).cast("long").alias("p"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("string").alias("words"))
+    return F.concat(F.transform(F.array(F.array_compact(rolling)), with_words)[0], F.array(count))
 
 
 def votes(docs: DataFrame, text: str = "text", key: str = "doc_id", phrases=PHRASES, notices=NOTICES) -> DataFrame:
@@ -88,10 +95,13 @@ def votes(docs: DataFrame, text: str = "text", key: str = "doc_id", phrases=PHRA
     besides a row without template for every text, with its number of words as ``p``."""
     low = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
     words = F.filter(F.split(low, BREAK), lambda w: w != "")
+    known = template_grams(docs.sparkSession, phrases, notices)  # fixed size
+    # The join's keys, some 400 numbers, are tested where the hashes are made: only k-grams with a partner become rows.
+    hashes = sorted({r.h for r in known.select("h").collect()})
     grams = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"),
-                        F.explode(F.transform(F.array(words), _grams)[0]).alias("g"))
-    grams = grams.select("key", "text_hash", "g.p", F.col("g.words").alias("gram"), F.xxhash64("g.words").alias("hash"))
-    known = F.broadcast(template_grams(docs.sparkSession, phrases, notices))  # fixed size
+                        F.explode(F.transform(F.array(words), lambda w: _grams(w, hashes))[0]).alias("g"))
+    grams = grams.select("key", "text_hash", "g.p", F.col("g.words").alias("gram"), F.col("g.h").alias("hash"))
+    known = F.broadcast(known)
     found = grams.join(known, (F.col("hash") == known["h"]) & (F.col("gram") == known["words"]), "left")
     return found.where("t is not null or gram is null").select("key", "text_hash", "p", "t", "label", "q", "whole", "phrase")
 
@@ -100,7 +110,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", phrases=PHRAS
     """One row per row of ``docs``: ``key``, ``n_words``, ``spans`` (label,
     first and last word, share of the template, whether a phrase) and the
     number, first and last place of phrases."""
-    found = votes(docs, text, key, phrases, notices)
+    found = materialize(votes(docs, text, key, phrases, notices), "votes")  # three steps read them, the texts are read once
     texts = found.where("t is null").groupBy("key", "text_hash").agg(F.max("p").alias("n_words"), F.count("*").alias("copies"))
     diagonal = (found.where("t is not null").select("*", (F.col("p") - F.col("q")).alias("diagonal")).distinct()
                 .groupBy("key", "text_hash", "t", "label", "whole", "phrase", "diagonal")
