@@ -158,7 +158,9 @@ def judge(docs: DataFrame) -> DataFrame:
         "doc_id", "lang", "source", F.xxhash64("text").alias("text_hash"), "n_words", "word_chars", "n_symbols",
         "n_dup_lines", "n_repeat_words", ((n < LEAST_WORDS) | (100 * again > MOST_REPEATED_PERCENT * n)).alias("base_failed"),
         *_vector()), "statistics")
-    cells = _cells(rows.where("not base_failed")).select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "cell")
+    # Tables of cells are written: a join then knows their size and leaves the rows, of which one cell may have most, where they are.
+    cells = materialize(_cells(rows.where("not base_failed")).select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "cell"),
+                        "cells")
     fit = materialize(rows.where("not base_failed").join(cells, F.col("lang").eqNullSafe(F.col("_l"))
                                                          & F.col("source").eqNullSafe(F.col("_s")))
                       .select("cell", *DIMENSIONS), "vectors")
@@ -174,7 +176,7 @@ def judge(docs: DataFrame) -> DataFrame:
                         "estimate")
     for _ in range(STEPS):
         near = _distance(fit, model).withColumn("step", _step())
-        edge = _ranked(near, ["cell"], F.col("step"), HELD, "edge")
+        edge = materialize(_ranked(near, ["cell"], F.col("step"), HELD, "edge"), "edge")
         model = _estimate(near.join(edge, "cell").where("step <= edge"))
     far = _distance(fit, model).withColumn("step", _step())
     scale = materialize(_ranked(far, ["cell"], F.col("step"), 0.5, "mid").join(
@@ -182,7 +184,8 @@ def judge(docs: DataFrame) -> DataFrame:
         "cell", (F.pow(F.lit(2.0), (F.col("mid") + 0.5) / 16) / CHI_MEDIAN).alias("scale")), "scale")
     judged = rows.join(cells, ~F.col("base_failed") & F.col("lang").eqNullSafe(F.col("_l"))
                        & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_l", "_s")
-    judged = _distance(judged, model.join(scale, "cell").select(*model.columns)).join(
+    model = materialize(model.join(scale.select("cell"), "cell"), "estimate")
+    judged = _distance(judged, model).join(
         scale, "cell", "left").withColumn("distance", F.col("d") / F.greatest(F.col("scale"), F.lit(1.0)))
     return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))).select(
         "doc_id", "lang", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
