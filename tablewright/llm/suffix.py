@@ -17,8 +17,9 @@ else; every byte that such a string covers is removed.
    put all of them into one task.  Its strings are told apart by grouped
    counts instead: a range of starts whose whole bytes occur elsewhere repeats,
    one whose common core doesn't occur elsewhere doesn't, and only what is
-   neither is halved again (in four), down to single starts.  Counts combine
-   map-side, so no group meets in a task, and nothing is left out.
+   neither is divided again (in four), down to single starts.  Strings that are
+   equal in a range go on as one.  Counts combine map-side, so no group meets
+   in a task, and nothing is left out.
 5. Runs get the repeats of their strings, and documents their spans.
 
 Defined results: null and empty texts have no bytes and no spans; texts shorter
@@ -185,18 +186,26 @@ def _halved(strings: DataFrame, length: int, gram: int) -> DataFrame:
         whole = (has_low == low) & (has_high == high)
         rows = rows.withColumn("content", F.when(whole, F.unhex(F.md5(cut("_a", "_b"))))).drop("_a", "_b")
         rows = materialize(rows, "ranges")
-        groups = rows.groupBy("key", "r", "core").agg(
-            F.count("*").alias("strings"), F.sum("copies").alias("total"), F.count("content").alias("wholes"),
-            (F.min("content") == F.max("content")).alias("alike"))
-        judged = rows.join(groups, ["key", "r", "core"])
-        settled = (F.col("strings") == 1) | ((F.col("wholes") == F.col("strings")) & F.col("alike"))
-        found.append(materialize(judged.where(settled & (F.col("total") > 1)).select(
+        # Strings with the same bytes in a range are one content; one that holds part of the range only is its own.
+        place = ["key", "r", "core"]
+        content = F.coalesce("content", "digest").alias("bytes")
+        contents = rows.groupBy(*place, content).agg(
+            F.sum("copies").alias("total"), F.min("digest").alias("first"), (F.count("content") > 0).alias("whole"))
+        # What isn't known yet: a string without copies that nothing equals here, beside others with the same core.
+        unknown = (F.col("total") == 1)
+        groups = contents.groupBy(*place).agg(F.count("*").alias("contents"), F.count_if(unknown).alias("unknown"))
+        judged = rows.withColumn("bytes", content).join(contents.join(groups, place), [*place, "bytes"])
+        twice = F.col("whole") & (F.col("total") > 1)
+        found.append(materialize(judged.where(twice & (F.col("copies") == 1)).select(
             "digest", F.struct((F.col("lead") - has_high + 1).alias("first"), (F.col("lead") - has_low).alias("last")).alias("range")),
             "found"))
+        # Of what is known, one string of each content stays for the unknown to be compared with.
+        rest = judged.where((F.col("contents") > 1) & (F.col("unknown") > 0) & (unknown | (F.col("digest") == F.col("first"))))
+        rest = rest.withColumn("copies", F.col("total"))
         if size == 1:
             discard(rows)
             break
-        rest = judged.where(~settled).select(*strings.columns, "r")
+        rest = rest.select(*strings.columns, "r")
         last, size = size, size // SPLIT
         parts = F.transform(F.sequence(F.lit(0), F.lit(last // size - 1)), lambda i: F.col("r") + i * size)  # noqa: B023
         rest = materialize(rest.withColumn("r", F.explode(F.filter(
