@@ -2,10 +2,15 @@
 
 Statistics of every whole text are transformed into a vector; the vectors of a
 language and source form a cell, and each cell gets a location and a scatter
-from the ``HELD`` share of its documents whose covariance determinant is
-smallest, found by concentration steps: estimate from the closest documents,
-measure all by Mahalanobis distance, keep the closest, again.  Documents far
-from their cell's estimate are rejected, besides those that fail base rules.
+from the half of its documents whose covariance determinant is smallest, found
+by concentration steps: estimate from the closest documents, measure all by
+Mahalanobis distance, keep the closest half, again until the determinant no
+longer falls.  The steps begin at three starts, and the least determinant is
+kept.  Documents far from their cell's estimate are rejected, besides those that
+fail base rules: beyond ``TAIL`` times the distance that 99 % of the cell's clean
+documents keep, and not below the chi-square distribution's 99.9 %.  With half a
+cell held, outliers up to nearly a half, copies of one text also, can't pull the
+estimate to themselves.
 
 Everything is a DataFrame expression: word windows are hashed, sorted and
 compared within the row, cells are summed with map-side combining, medians and
@@ -33,17 +38,17 @@ from tablewright.llm.common import SPACES, materialize, table, word_list
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
-#: Share of a cell that the estimate rests on, concentration steps, least rows of a cell.
-HELD, STEPS, LEAST = 0.75, 4, 60
+#: Least rows of a cell; the steps end where the determinant's logarithm falls by less than ``FALL``.
+LEAST, FALL = 60, 1e-4
 #: Words with which rates of short texts are drawn to the usual ones.
 PRIOR = 30
 #: Floor of a standard deviation, in units of 1/1000.
 FLOOR = 100.0
-#: Squared distance beyond which a document is rejected, in units of the cell's consistent scatter.
-CUTOFF = 100.0
+#: Texts are spread wider than normal: so many times the squared distance of 99 % of the clean documents is still near.
+TAIL, CLEAN = 5.0, 0.99
 DIMENSIONS = ("v0", "v1", "v2", "v3")
-#: Median of the chi-square distribution with four degrees of freedom (fixed value).
-CHI_MEDIAN = 3.3567
+#: Median and 99.9 % of the chi-square distribution with four degrees of freedom (fixed values).
+CHI_MEDIAN, CHI_FAR = 3.3567, 18.467
 
 
 def _let(value: Column, body) -> Column:
@@ -106,23 +111,29 @@ def _cells(rows: DataFrame) -> DataFrame:
         F.when(F.col("level") < 1, F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))).alias("cell"))
 
 
-def _ranked(rows: DataFrame, keys: list[str], value: Column, share: float, name: str) -> DataFrame:
-    """For each key the least whole ``value`` that at least ``share`` of its
-    rows don't exceed: from counts by value, not by sorting rows."""
+#: Rows that the estimate rests on: (n + p + 1) / 2.
+HALF = f"floor((_all + {len(DIMENSIONS)} + 1) / 2)"
+
+
+def _ranked(rows: DataFrame, keys: list[str], value: Column, share: float | str, name: str) -> DataFrame:
+    """For each key the least whole ``value`` that at least ``share`` of its rows (an
+    expression: so many of them) don't exceed: from counts by value, not by sorting rows."""
+    least = F.expr(share) if isinstance(share, str) else share * F.col("_all")
     counts = rows.groupBy(*keys, value.alias("_v")).agg(F.count("*").alias("_n"))
     by = Window.partitionBy(*keys)
     return (counts.withColumn("_upto", F.sum("_n").over(by.orderBy("_v"))).withColumn("_all", F.sum("_n").over(by))
-            .where(F.col("_upto") >= share * F.col("_all")).groupBy(*keys).agg(F.min("_v").alias(name)))
+            .where(F.col("_upto") >= least).groupBy(*keys).agg(F.min("_v").alias(name)))
 
 
 def _estimate(held: DataFrame) -> DataFrame:
-    """For each cell the means ``m`` and the lower triangular factor ``l`` of the covariance."""
+    """For each cell and start the means ``m``, the lower triangular factor ``l`` of
+    the covariance and the logarithm of its determinant, ``det``."""
     p = range(len(DIMENSIONS))
     exact = lambda c: F.sum(c.cast("decimal(38,0)")).cast("double")
     v = [F.col(d) for d in DIMENSIONS]
-    sums = held.groupBy("cell").agg(F.count("*").alias("n"), *(exact(v[i]).alias(f"s{i}") for i in p),
+    sums = held.groupBy("cell", "start").agg(F.count("*").alias("n"), *(exact(v[i]).alias(f"s{i}") for i in p),
                                     *(exact(v[i] * v[j]).alias(f"s{i}{j}") for i in p for j in range(i + 1)))
-    out = sums.select("cell", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in p),
+    out = sums.select("cell", "start", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in p),
                       *((F.col(f"s{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * F.col(f"s{j}") / F.col("n")
                          + (FLOOR ** 2 if i == j else 0)).alias(f"c{i}{j}") for i in p for j in range(i + 1)))
     for j in p:
@@ -130,17 +141,18 @@ def _estimate(held: DataFrame) -> DataFrame:
             rest = F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             # The floor bounds the pivots from below; greatest() only guards against rounding.
             out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-6))) if i == j else rest / F.col(f"l{j}{j}"))
-    return materialize(out.drop(*(f"c{i}{j}" for i in p for j in range(i + 1))), "estimate")
+    return out.drop(*(f"c{i}{j}" for i in p for j in range(i + 1))).withColumn(
+        "det", sum((2 * F.log(F.col(f"l{i}{i}")) for i in p), F.lit(0.0)))
 
 
-def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """``rows`` with ``d``, the squared Mahalanobis distance."""
-    out = rows.join(model, "cell", "left")
+def _distance(rows: DataFrame, model: DataFrame, how: str = "left", *more: str) -> DataFrame:
+    """``rows`` with ``d``, the squared Mahalanobis distance, and ``more`` columns of the model."""
+    out = rows.join(model, "cell", how)
     for i in range(len(DIMENSIONS)):
         back = sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", (F.col(f"v{i}") - F.col(f"m{i}") - back) / F.col(f"l{i}{i}"))
     d = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(len(DIMENSIONS))), F.lit(0.0))
-    return out.withColumn("d", d).select(*rows.columns, "d")
+    return out.withColumn("d", d).select(*rows.columns, *more, "d")
 
 
 def _step() -> Column:
@@ -148,6 +160,40 @@ def _step() -> Column:
     return F.floor(16 * F.log2(F.col("d") + 1e-6)).cast("int")
 
 
+def _starts(fit: DataFrame) -> DataFrame:
+    """For each cell three first estimates: the medians with the median deviations,
+    the medians with equal deviations, and the means and covariance of all rows."""
+    p = range(len(DIMENSIONS))
+    long = fit.select("cell", F.posexplode(F.array(*DIMENSIONS)).alias("k", "v"))
+    mid = materialize(_ranked(long, ["cell", "k"], F.col("v"), 0.5, "mid"), "medians")
+    dev = _ranked(long.join(mid, ["cell", "k"]), ["cell", "k"], F.abs(F.col("v") - F.col("mid")), 0.5, "dev")
+    at = mid.join(dev, ["cell", "k"]).groupBy("cell").agg(
+        *(F.max(F.when(F.col("k") == i, F.col("mid"))).cast("double").alias(f"m{i}") for i in p),
+        *(F.max(F.when(F.col("k") == i, F.sqrt(F.pow(1.4826 * F.col("dev"), F.lit(2)) + FLOOR ** 2))).alias(f"l{i}{i}") for i in p))
+    at = at.select("*", *(F.lit(0.0).alias(f"l{i}{j}") for i in p for j in range(i)))
+    found = at.withColumn("start", F.lit(0)).unionByName(
+        at.withColumns({f"l{i}{i}": F.lit(FLOOR) for i in p}).withColumn("start", F.lit(1))).unionByName(
+        _estimate(fit.withColumn("start", F.lit(2))).drop("det"))
+    return materialize(found.withColumn("det", F.lit(float("inf"))), "starts")
+
+
+def _concentrated(fit: DataFrame) -> DataFrame:
+    """For each cell the estimate of least determinant that the steps reach from any start."""
+    model, found = _starts(fit), None
+    while True:
+        near = _distance(fit, model, "inner", "start").withColumn("step", _step())
+        edge = materialize(_ranked(near, ["cell", "start"], F.col("step"), HALF, "edge"), "edge")
+        after = _estimate(near.join(edge, ["cell", "start"]).where("step <= edge"))
+        after = materialize(after.join(model.select("cell", "start", F.col("det").alias("before")), ["cell", "start"]), "estimate")
+        found = after if found is None else found.unionByName(after)
+        model = after.where(F.col("det") < F.col("before") - FALL).drop("before")
+        if model.isEmpty():
+            break
+    what = [c for c in found.columns if c not in ("cell", "det", "start", "before")]
+    return materialize(found.groupBy("cell").agg(F.min(F.struct("det", "start", *what)).alias("x")).select(
+        "cell", *(f"x.{c}" for c in what)), "estimate")
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Every row's ``doc_id``, ``lang``, ``source``, hash of its text, the five
     statistics, ``base_failed``, ``distance`` (null where its cell has no
@@ -164,30 +210,20 @@ def judge(docs: DataFrame) -> DataFrame:
     fit = materialize(rows.where("not base_failed").join(cells, F.col("lang").eqNullSafe(F.col("_l"))
                                                          & F.col("source").eqNullSafe(F.col("_s")))
                       .select("cell", *DIMENSIONS), "vectors")
-    # First held share: the closest to the medians, in units of the median deviations.
-    long = fit.select("cell", F.posexplode(F.array(*DIMENSIONS)).alias("k", "v"))
-    mid = materialize(_ranked(long, ["cell", "k"], F.col("v"), 0.5, "mid"), "medians")
-    dev = _ranked(long.join(mid, ["cell", "k"]), ["cell", "k"], F.abs(F.col("v") - F.col("mid")), 0.5, "dev")
-    first = mid.join(dev, ["cell", "k"]).groupBy("cell").agg(
-        *(F.max(F.when(F.col("k") == i, F.col("mid"))).cast("double").alias(f"m{i}") for i in range(len(DIMENSIONS))),
-        *(F.max(F.when(F.col("k") == i, F.sqrt(F.pow(1.4826 * F.col("dev"), F.lit(2)) + FLOOR ** 2))).alias(f"l{i}{i}")
-          for i in range(len(DIMENSIONS))))
-    model = materialize(first.select("*", *(F.lit(0.0).alias(f"l{i}{j}") for i in range(len(DIMENSIONS)) for j in range(i))),
-                        "estimate")
-    for _ in range(STEPS):
-        near = _distance(fit, model).withColumn("step", _step())
-        edge = materialize(_ranked(near, ["cell"], F.col("step"), HELD, "edge"), "edge")
-        model = _estimate(near.join(edge, "cell").where("step <= edge"))
+    model = _concentrated(fit)
     far = _distance(fit, model).withColumn("step", _step())
     scale = materialize(_ranked(far, ["cell"], F.col("step"), 0.5, "mid").join(
         fit.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST), "cell").select(
-        "cell", (F.pow(F.lit(2.0), (F.col("mid") + 0.5) / 16) / CHI_MEDIAN).alias("scale")), "scale")
+        "cell", F.greatest(F.pow(F.lit(2.0), (F.col("mid") + 0.5) / 16) / CHI_MEDIAN, F.lit(1.0)).alias("scale")), "scale")
+    clean = _ranked(far.join(scale, "cell").where(F.col("d") <= CHI_FAR * F.col("scale")), ["cell"], F.col("step"), CLEAN, "most")
+    scale = materialize(scale.join(clean, "cell", "left").select("cell", "scale", F.greatest(
+        F.lit(CHI_FAR), TAIL * F.pow(F.lit(2.0), (F.col("most") + 1) / 16) / F.col("scale")).alias("cutoff")), "cutoff")
     judged = rows.join(cells, ~F.col("base_failed") & F.col("lang").eqNullSafe(F.col("_l"))
                        & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_l", "_s")
     model = materialize(model.join(scale.select("cell"), "cell"), "estimate")
     judged = _distance(judged, model).join(
-        scale, "cell", "left").withColumn("distance", F.col("d") / F.greatest(F.col("scale"), F.lit(1.0)))
-    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))).select(
+        scale, "cell", "left").withColumn("distance", F.col("d") / F.col("scale"))
+    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("cutoff"), F.lit(True))).select(
         "doc_id", "lang", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "distance", "kept")
 

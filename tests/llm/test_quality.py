@@ -86,3 +86,15 @@ def test_edge_rows(spark, docs):
     left = quality.kept_documents(every)
     assert left.columns == every.columns and left.count() == sum(kept)
     assert quality.judge(docs.limit(0)).count() == 0
+
+
+def test_a_third_of_a_cell_is_one_copied_outlier(spark):
+    """Copies that pass the base rules don't pull the estimate to themselves; the others stay."""
+    rng = np.random.default_rng(4)
+    usual = [" ".join("".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(rng.integers(80, 300)))
+             for _ in range(200)]
+    junk = " ".join(f"#*w{k}*#" for k in range(200))
+    data = [(i, t, "en", "a") for i, t in enumerate(usual + [junk] * 100)]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(data, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(200)) and not any(got[i].kept for i in range(200, 300))
