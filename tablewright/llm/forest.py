@@ -7,9 +7,10 @@ one label that share a leaf are compared, in double precision, and those with
 cosine ``LEAST`` or more are linked and united.
 
 The cuts are fitted on a sample of at most ``SAMPLE`` vectors (by hash, of all
-labels); every vector is indexed, and the depth follows the largest label,
-so leaves keep their size as the input grows: below the depth that the sample
-supports, cuts are the medians of the whole sample in the level's direction.
+labels); every vector is indexed, to the depth that follows the size of its
+label, so leaves keep their size as the input grows, and a label of at most
+``LEAF`` vectors is compared whole: below the depth that the sample supports,
+cuts are the medians of the whole sample in the level's direction.
 
 A leaf with more than ``BLOCK`` vectors is compared block against block, each
 pair of blocks a task of its own, so a crowd of close vectors is dealt evenly.
@@ -78,13 +79,19 @@ def fit(sample: np.ndarray, depth: int, trees: int = TREES, spill: float = SPILL
     return forest
 
 
-def leaves(vectors: np.ndarray, forest: list, way: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``vectors`` and the leaves they are in: tree in the top bits, path below."""
+def leaves(vectors: np.ndarray, forest: list, way: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``vectors`` and the leaves they are in: tree in the top bits, path
+    below.  A row goes down ``depth`` levels; those that go down none are in one tree."""
     every_row, every_leaf = [], []
     for t, levels in enumerate(forest):
         projected = vectors @ way[t].T
-        rows, node = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
+        rows = np.arange(len(vectors)) if t == 0 else np.flatnonzero(depth > 0)
+        node = np.zeros(len(rows), np.int64)
         for level, (cuts, margin) in enumerate(levels):
+            ends = depth[rows] <= level
+            every_row.append(rows[ends])
+            every_leaf.append(node[ends] + (t << 48))
+            rows, node = rows[~ends], node[~ends]
             rows, node = _spread(projected, level, cuts, margin, rows, node)
         every_row.append(rows)
         every_leaf.append(node + (t << 48))
@@ -103,14 +110,33 @@ def _indexed(distinct: DataFrame, dim: int, forest: list, depth: int) -> DataFra
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
-                rows, leaf = leaves(_unit(batch.column("embedding").to_pylist()), forest, way)
+                levels = batch.column("depth").to_numpy()
+                rows, leaf = leaves(_unit(batch.column("embedding").to_pylist()), forest, way, levels)
                 order = np.lexsort((leaf, rows))
                 rows, leaf = rows[order], leaf[order]
                 ends = np.searchsorted(rows, np.arange(batch.num_rows + 1))
                 signs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(leaf))
                 yield pa.RecordBatch.from_arrays([*batch.columns, signs], names=[*batch.schema.names, "leaves"])
 
-    return distinct.mapInArrow(run, "node long, label long, dim int, embedding array<double>, copies long, leaves array<long>")
+    return distinct.mapInArrow(run, "node long, label long, dim int, embedding array<double>, copies long, depth int, "
+                                    "leaves array<long>").drop("depth")
+
+
+def hash_bound(share: float) -> int:
+    """The number that a ``share`` of all 64-bit hashes lies below."""
+    return min(int(share * 2.0 ** 64) - 2 ** 63, 2 ** 63 - 1)
+
+
+def drawn(some: DataFrame, every: int) -> list:
+    """At most ``SAMPLE`` of the ``every`` vectors in ``some``, by hash: half as many are
+    expected of a large input; if a quarter isn't reached, more are drawn."""
+    share = 1.0 if every <= SAMPLE else SAMPLE / 2 / every
+    while True:
+        part = some if share >= 1 else some.where(F.xxhash64(F.lit(SEED), "node") < hash_bound(share))
+        sample = [r[0] for r in part.select("embedding").limit(SAMPLE).collect()]
+        if share >= 1 or len(sample) >= SAMPLE // 4:
+            return sample
+        share *= 2
 
 
 def _compare(least: float):
@@ -162,18 +188,21 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     # Ids given once, to a written table: they stay the same for every later reading.
     distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("node"), "label",
                                            F.size("embedding").alias("dim"), "embedding", "copies", "first"), "numbered")
-    largest = distinct.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(
+    # Written: its join then knows its size and leaves the vectors, of which one label may have most, where they are.
+    labels = materialize(distinct.groupBy("dim", "label").agg(F.count("*").alias("n")), "labels")
+    largest = labels.groupBy("dim").agg(
         F.max("n").alias("largest"), F.sum("n").alias("all")).collect()  # a row for each length of vectors
     found = None
     for dim, n, every in sorted(map(tuple, largest)):
         depth = max(0, int(np.ceil(np.log2(n / LEAF))))
         some = distinct.where(F.col("dim") == dim)
-        # By hash: half of SAMPLE is expected of a large input, SAMPLE is the bound.
-        share = 1000 if every <= SAMPLE else 500 * SAMPLE / every
-        drawn = some.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(1_000_000)) < int(1000 * share))
-        sample = [r[0] for r in drawn.select("embedding").limit(SAMPLE).collect()] if depth else []
+        sample = drawn(some, every) if depth else []
         forest = fit(_unit(sample) if sample else np.zeros((0, dim)), depth)
-        part = materialize(_indexed(some.select("node", "label", "dim", "embedding", "copies"), dim, forest, depth)
+        deep = labels.where((F.col("dim") == dim) & (F.col("n") > LEAF)).select(
+            "label", F.ceil(F.log2(F.col("n") / LEAF)).cast("int").alias("depth"))
+        some = some.join(deep, "label", "left").select("node", "label", "dim", "embedding", "copies",
+                                                       F.coalesce("depth", F.lit(0)).alias("depth"))
+        part = materialize(_indexed(some, dim, forest, depth)
                            .withColumn("leaf", F.explode("leaves")), "leaves")
         sizes = part.groupBy("label", "dim", "leaf").agg(F.count("*").alias("n")).where("n > 1").select(
             "label", "dim", "leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))

@@ -69,3 +69,27 @@ def test_edge_rows(spark):
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 node", "'x' leaf")
     assert sorted(map(tuple, forest.near_duplicates(df).collect())) == brute(df.collect())
     assert forest.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_small_labels_are_compared_whole(spark, monkeypatch):
+    """One tree without spill parts close vectors of a large label, but none of a label of one leaf."""
+    monkeypatch.setattr(forest, "LEAF", 32)
+    one = forest.fit
+    monkeypatch.setattr(forest, "fit", lambda sample, depth: one(sample, depth, trees=1, spill=0.0))
+    rng = np.random.default_rng(5)
+    large = rng.standard_normal((4000, 16))
+    small = np.repeat(rng.standard_normal((16, 16)), 2, axis=0) + rng.standard_normal((32, 16)) * 0.08
+    data = [(i, v.tolist(), int(i >= 4000)) for i, v in enumerate(np.concatenate([large, small]))]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, forest.near_duplicates(df).collect()))
+    assert got[4000:] == brute(df.where("label = 1").collect())
+    assert sum(g[1] for g in got[4000:]) >= 20
+
+
+def test_the_sample_is_never_empty(spark):
+    """A share of the hashes, not of millionths: the same number is expected of any input."""
+    for every in (10 ** 5, 8_193_000_000, 10 ** 11, 10 ** 13):
+        expected = (forest.hash_bound(forest.SAMPLE / 2 / every) + 2 ** 63) / 2.0 ** 64 * every
+        assert abs(expected - forest.SAMPLE / 2) < 0.01 * forest.SAMPLE
+    few = spark.range(100).selectExpr("id node", "array(id + 1D) embedding")
+    assert len(forest.drawn(few, 10 ** 10)) > 0  # none below the first bound: drawn again
