@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tablewright.llm.common import SPACE, SPACES, materialize, table, word_count
+from tablewright.llm.common import SPACE, materialize, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -114,15 +114,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
 
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: each document as often as the mix takes it whole, and
-    once more its first words where the mix takes it in part.  Columns of
-    ``docs``; ``n_chars``, where there is one, follows the text."""
+    once more its beginning, as it stands, up to the last word taken where the mix
+    takes it in part: the target is met to the word.  Columns of ``docs``; ``n_chars``, where there is one, follows the text."""
     rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.struct(*docs.columns).alias("row"))
     mixed = mix(rows, **options).where("taken > 0")
     whole = (F.col("taken") / F.col("size")).cast("long")
     rest = F.col("taken") % F.col("size")
     times = mixed.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0))))
-    words = F.split(F.btrim(F.col(f"row.{text}"), F.lit(SPACES)), SPACE + "+")
-    part = F.array_join(F.slice(words, 1, rest.cast("int")), " ")
+    words = F.split(F.col(f"row.{text}"), f"(?<!{SPACE}|^)(?={SPACE})")  # each with the spaces before it
+    part = F.array_join(F.slice(words, 1, rest.cast("int")), "")
     new = F.when(F.col("time") > whole, part).otherwise(F.col(f"row.{text}"))
     changed = {text: new} | ({"n_chars": F.length(new).cast("long")} if "n_chars" in docs.columns else {})
     return times.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

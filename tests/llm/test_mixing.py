@@ -70,3 +70,13 @@ def test_targets(spark, sizes):
     got = {r.source: r.target for r in mixing.source_targets(df).collect()}
     want = targets(sizes)
     assert all(math.isclose(got[s], want[s], rel_tol=1e-12) for s in sizes)
+
+
+def test_the_part_taken_keeps_its_bytes(spark):
+    """Line breaks and runs of spaces up to the last word taken stay as they are."""
+    text = " \n\n" + "".join(f"wörd{k}{' ' * (k % 3 + 1)}{chr(10) * (k % 2)}\t" for k in range(400))
+    df = spark.createDataFrame([(k, text, s) for k, s in enumerate("abb")], "doc_id long, text string, source string")
+    got = [r.text for r in mixing.mixed_documents(df).collect()]
+    assert sum(len(t.split()) for t in got) == 1200
+    parts = [t for t in got if t != text]
+    assert parts and all(text.startswith(t) and text[len(t)] in " \t\n" for t in parts)
