@@ -22,8 +22,8 @@ Defined results: vectors that are null or hold null or non-finite components tak
 no part; a vector meets those of its own length, an empty one with score 0; a row
 is never its own candidate, another row of the same id is; ties go to the smaller
 id, missing ids last; repeated query rows each get a result; a missing id is never
-a query.  Other columns are ignored, whatever their names.  Scores beyond a long
-fail the job.  An empty table gives an empty result.
+a query.  Other columns are ignored, whatever their names.  Vectors whose
+scores may pass 2^53 fail the job.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def scores(q: np.ndarray, x: np.ndarray, pair: tuple[np.ndarray, np.ndarray]) ->
     if len(pair[0]) > DENSE * len(q) * len(x):
         return V.products(q, x)[pair]
     out = np.empty(len(pair[0]), np.int64)
-    V.fits(q, x)
+    V.check(q, x)
     for at in range(0, len(out), 1 << 16):
         part = slice(at, at + (1 << 16))
         out[part] = np.einsum("ij,ij->i", q[pair[0][part]], x[pair[1][part]])

@@ -52,21 +52,17 @@ def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
-def fits(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether every sum of products of whole-number rows is one that a double holds
-    exactly; fails if one might not fit a long."""
+def check(a: np.ndarray, b: np.ndarray) -> None:
+    """Fails if an inner product of whole-number rows might not be a whole number that a double holds exactly."""
     longest = lambda m: float(np.sqrt(np.square(m, dtype=np.float64).sum(axis=1)).max(initial=0))
-    most = longest(a) * longest(b) * (1 + 1e-9)  # no sum of absolute products is larger
-    if most >= 2.0 ** 63:
-        raise OverflowError("inner products of these vectors don't fit a long")
-    return most < 2.0 ** 53
+    if longest(a) * longest(b) * (1 + 1e-9) >= 2.0 ** 53:  # no sum of absolute products is larger
+        raise OverflowError("inner products of these vectors may pass 2^53")
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of whole-number rows, as long."""
-    if fits(a, b):
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    check(a, b)
+    return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
 
 
 def best(who: np.ndarray, score: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
