@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("quality", "simhash", "suffix", "trie_tokens", "lm", "mixing", "forest", "urls", "licenses", "bpe", "topk", "gnat")
+MODULES = ("quality", "simhash", "suffix", "trie_tokens", "lm", "mixing", "forest", "urls", "licenses", "bpe", "topk", "gnat", "merkle")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
