@@ -18,6 +18,7 @@ from tablewright.operators import profile as P
 from tablewright.operators import quality as Q
 from tablewright.operators import schema as S
 from tablewright.operators import timeseries as T
+from tablewright.operators.promotion import union_promoted as union_promoted_frames
 from tablewright.operators.quantiles import null_safe_join, quantiles, quantiles_of, value_counts
 from tablewright.plans import fixtures as X
 from tablewright.session import scratch_dir
@@ -98,6 +99,26 @@ def csv_typed_scan(spark, sf):
     return C.read_csv_landed(spark, paths, types=types)
 
 
+def _drift_groups(spark, sf):
+    folder = scratch_dir(spark, "drift")
+    paths = []
+    for name, text in (("odd", X.DRIFT_ODD_SQL), ("even", X.DRIFT_EVEN_SQL)):
+        write_table(X.run(spark, sf, text), f"{folder}/{name}", fmt="csv")
+        paths += FS.list_files(spark, f"{folder}/{name}", suffix=".csv")
+    return paths
+
+
+def csv_inferred_types(spark, sf):
+    """Types inferred from all values of two extracts with drifting headers, each alone and both together."""
+    groups = C.land_groups(spark, _drift_groups(spark, sf))
+    return C.infer_types(groups).drop("bits")
+
+
+def csv_inferred_scan(spark, sf):
+    """The rows of both extracts, typed by inference."""
+    return C.read_csv_inferred(spark, _drift_groups(spark, sf))
+
+
 def series_csv_scan(spark, sf):
     """The rate series written as CSV, then landed with its date column parsed."""
     folder = write_table(X.rate_series(spark, sf), scratch_dir(spark, "series"), fmt="csv")
@@ -121,6 +142,19 @@ def union_by_name(spark, sf):
                             late.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")])
 
 
+def union_promoted(spark, sf):
+    """Frames in which a name is a whole number, a decimal or text: each column gets the type that keeps all values."""
+    o = X.table(spark, sf, "orders")
+    day, third = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 3
+    decimal = (F.col("o_orderkey") % 1000).cast("double") + 0.5
+    return union_promoted_frames([
+        o.where(third == 0).select("o_orderkey", F.col("o_custkey").cast("bigint").alias("amount"), F.col("o_custkey").cast("bigint").alias("mixed"),
+                                   (F.lit(9007199254740992) + F.col("o_orderkey")).alias("big"), day.alias("day")),
+        o.where(third == 1).select("o_orderkey", decimal.alias("amount"), decimal.alias("mixed"), decimal.alias("big"), day.alias("day")),
+        o.where(third == 2).select("o_orderkey", F.col("o_custkey").cast("int").alias("amount"), F.col("o_orderpriority").alias("mixed"),
+                                   F.col("o_orderstatus").alias("day"))])
+
+
 def drop_columns(spark, sf):
     o = X.table(spark, sf, "orders").withColumns({
         "latfilled": F.col("o_totalprice"), "lonfilled": F.col("o_custkey"),
@@ -421,7 +455,8 @@ def flagship(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
-    flagship, month_version_select, csv_typed_scan, series_csv_scan, sink_roundtrip, union_by_name, drop_columns,
+    flagship, month_version_select, csv_typed_scan, csv_inferred_types, csv_inferred_scan, series_csv_scan, sink_roundtrip, union_by_name,
+    union_promoted, drop_columns,
     drop_repeated_columns, column_profile, dtype_counts, missing_report, high_missing_columns,
     date_missing_counts, filter_category, filtered_count, iqr_filter, quartiles, histogram_bins,
     box_stats, numeric_summary, column_summary, global_median_mean, price_vs_list_share,

@@ -72,6 +72,27 @@ RATE_SERIES_SQL = """
 SELECT CAST(o_orderdate AS DATE) AS observation_date, o_totalprice AS value FROM {orders}
 """
 
+# Orders as the text of two extracts whose headers and types drift: whole numbers against decimals, dates
+# against other text, numbers too long for a double, a column of missing tokens only.
+DRIFT_ODD_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS id, CAST(o_custkey AS STRING) AS buyer,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'N/A' ELSE CAST(o_custkey AS STRING) END AS amount,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) AS day, CAST(o_orderkey % 7 AS STRING) AS code,
+  CAST(9007199254740992 + o_orderkey AS STRING) AS big,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END AS flag, 'NA' AS empty, o_orderpriority AS note
+FROM {orders} WHERE month(o_orderdate) % 2 = 1
+"""
+DRIFT_EVEN_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS id, CAST(o_custkey AS STRING) AS buyer,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'NA' ELSE CAST(o_orderkey % 1000 AS STRING) || '.25' END AS amount,
+  CASE WHEN o_orderkey % 5 = 0 THEN '31/12/1999' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS day,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE CAST(o_orderkey % 7 AS STRING) END AS code,
+  CAST(o_orderkey % 1000 AS STRING) || '.5' AS big,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END AS flag,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) AS shipped
+FROM {orders} WHERE month(o_orderdate) % 2 = 0
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 

@@ -8,8 +8,8 @@ fixture texts.  Column names equal the Spark ones.
 from __future__ import annotations
 
 from tablewright.plans import catalog as K
-from tablewright.plans.fixtures import (DATE_TEXT_SQL, EVENT_FILES_SQL, RATE_SERIES_SQL, SALES_SQL,
-                                        for_duckdb)
+from tablewright.plans.fixtures import (DATE_TEXT_SQL, DRIFT_EVEN_SQL, DRIFT_ODD_SQL, EVENT_FILES_SQL, RATE_SERIES_SQL,
+                                        SALES_SQL, for_duckdb)
 
 
 def _with(**ctes: str) -> str:
@@ -124,6 +124,35 @@ SELECT round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
 FROM f, s GROUP BY q1, median, q3
 """
 
+# The type of all values of v, by one regular expression for each.
+TYPE_OF = r"""CASE WHEN count(v) = 0 THEN 'null' WHEN bool_and(lower(v) IN ('true', 'false')) THEN 'boolean'
+  WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+') AND try_cast(v AS BIGINT) IS NOT NULL) FILTER (WHERE v IS NOT NULL) THEN 'bigint'
+  WHEN bool_and(CASE WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN abs(try_cast(v AS HUGEINT)) <= 9007199254740992
+                ELSE regexp_full_match(v, '[+-]?([0-9]+\.[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') END) THEN 'double'
+  WHEN bool_and(regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_strptime(v, '%Y-%m-%d') IS NOT NULL) FILTER (WHERE v IS NOT NULL) THEN 'date'
+  ELSE 'string' END"""
+DRIFT = _with(odd=for_duckdb(DRIFT_ODD_SQL), even=for_duckdb(DRIFT_EVEN_SQL))
+DRIFT_COLUMNS = {"odd": ("id", "buyer", "amount", "day", "code", "big", "flag", "empty", "note"),
+                 "even": ("id", "buyer", "amount", "day", "code", "big", "flag", "shipped")}
+
+
+def _inferred_types() -> str:
+    rows = "\nUNION ALL\n".join(
+        f"""SELECT {part} AS part, {i} AS position, '{c}' AS "column", CASE WHEN {c} NOT IN ('NA', 'N/A') THEN {c} END AS v FROM {name}"""
+        for part, (name, columns) in enumerate(DRIFT_COLUMNS.items()) for i, c in enumerate(columns))
+    return DRIFT + f""", v AS ({rows}),
+j AS (SELECT "column", {TYPE_OF} AS joined_type FROM v GROUP BY 1)
+SELECT part, position, "column", count(*) AS n_rows, count(v) AS n_present, {TYPE_OF} AS type, joined_type
+FROM v JOIN j USING ("column") GROUP BY part, position, "column", joined_type"""
+
+
+def _inferred_scan() -> str:
+    value = lambda c: f"CASE WHEN {c} NOT IN ('NA', 'N/A') THEN {c} END"
+    same = f"id::BIGINT AS id, buyer::BIGINT AS buyer, ({value('amount')})::DOUBLE AS amount, day, code, big, lower(flag) = 'true' AS flag"
+    return DRIFT + f"""SELECT {same}, NULL::VARCHAR AS empty, note FROM odd
+UNION ALL BY NAME SELECT {same}, shipped::DATE AS shipped FROM even"""
+
+
 _ENRICHED = ("SELECT s.*, r.rate FROM sales s LEFT JOIN rates r ON strftime(s.close_date, '%Y-%m') = r.year_month")
 
 SQL: dict[str, str] = {
@@ -160,6 +189,17 @@ SELECT l_orderkey, l_linenumber, close_price, close_date, strftime(close_date, '
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
 UNION ALL BY NAME
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+""",
+    "csv_inferred_types": _inferred_types(),
+    "csv_inferred_scan": _inferred_scan(),
+    "union_promoted": """
+SELECT o_orderkey, o_custkey::DOUBLE AS amount, o_custkey::VARCHAR AS mixed, (9007199254740992 + o_orderkey)::VARCHAR AS big,
+  CAST(o_orderdate AS DATE)::VARCHAR AS day FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL BY NAME
+SELECT o_orderkey, o_orderkey % 1000 + 0.5::DOUBLE AS amount, (o_orderkey % 1000)::VARCHAR || '.5' AS mixed,
+  (o_orderkey % 1000)::VARCHAR || '.5' AS big, CAST(o_orderdate AS DATE)::VARCHAR AS day FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL BY NAME
+SELECT o_orderkey, o_custkey::DOUBLE AS amount, o_orderpriority AS mixed, o_orderstatus AS day FROM orders WHERE o_orderkey % 3 = 2
 """,
     "drop_columns": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,

@@ -108,6 +108,19 @@ def scratch(spark: SparkSession):
         discard_scratch(spark, before)
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """A block with other session settings; plan and run inside."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Session settings for a given input volume.
 
