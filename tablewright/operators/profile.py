@@ -7,9 +7,10 @@ then reshaped to a long table with ``inline`` -- never one job per column.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.nulls import ColumnLike, col
@@ -199,6 +200,56 @@ def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
             .drop("_first").orderBy("step"))
 
 
+class ObservedStages:
+    """Rows of each stage, counted by the job that writes the result.
+
+    ``mark`` names a stage and returns its frame with a counter (``DataFrame.observe``);
+    ``run`` takes the action that evaluates the last of them, and ``table`` then has the
+    rows of ``stage_counts`` without any further scan.
+
+    Spark adds a counter up again when it repeats a finished task because an executor
+    with its shuffle files was lost.  ``run`` sees that from the attempts of its stages;
+    the counts are then taken by ``stage_counts`` instead, with a scan of their own."""
+
+    def __init__(self) -> None:
+        self._marks: list[tuple[str, DataFrame, Observation]] = []
+        self.repeated: bool | None = None
+
+    def mark(self, name: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"{len(self._marks)}-{uuid.uuid4().hex}")
+        self._marks.append((name, df, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+
+    def run(self, action: Callable[[], object]) -> None:
+        if not self._marks:
+            raise ValueError("no stage is marked")
+        sc = self._marks[0][1].sparkSession.sparkContext
+        keys = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+        before = {k: sc.getLocalProperty(k) for k in keys}
+        group = uuid.uuid4().hex
+        sc.setJobGroup(group, "stages counted while they are written")
+        try:
+            action()
+        finally:
+            for k, v in before.items():
+                sc.setLocalProperty(k, v)
+        tracker = sc.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        stages = [tracker.getStageInfo(s) for j in jobs if j is not None for s in j.stageIds]
+        self.repeated = any(s is not None and s.currentAttemptId > 0 for s in stages)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(step, stage, n_rows, n_columns, retained_pct) with the first stage as 100 %."""
+        if self.repeated is None:
+            raise ValueError("run the action first")
+        if self.repeated:
+            return stage_counts([(name, df) for name, df, _ in self._marks])
+        counts = [(i, name, seen.get["n_rows"], len(df.columns)) for i, (name, df, seen) in enumerate(self._marks)]
+        rows = spark.createDataFrame(counts, "step int, stage string, n_rows long, n_columns int")
+        first = counts[0][2]
+        return rows.withColumn("retained_pct", F.try_divide(F.col("n_rows"), F.lit(first)) * F.lit(100.0)).orderBy("step")
+
+
 def category_share(df: DataFrame, column: str) -> DataFrame:
     """(value, n, share_pct): share of *all* rows; missing values form no group."""
     counts = (df.where(F.col(q(column)).isNotNull())

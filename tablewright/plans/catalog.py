@@ -39,6 +39,7 @@ DATE_COLUMNS = ("listing_date", "purchase_date", "close_date")
 AS_OF = "2000-01-01"
 FILTER_COUNTY = "NATION_7"
 MIN_GROUP_SIZE = 35
+RERUN_MONTH = "1995-03"
 
 
 def r4(c):
@@ -134,6 +135,16 @@ def sink_roundtrip(spark, sf):
     return spark.read.schema(data.schema).parquet(path)
 
 
+def sink_partition_overwrite(spark, sf):
+    """The table by month, then one month written again with other prices: all other months stay."""
+    data = T.with_month_key(X.sales(spark, sf), "close_date").select(
+        "l_orderkey", "l_linenumber", "close_price", "close_date", "year_month")
+    path = write_table(data, scratch_dir(spark, "sink"), partition_by=["year_month"])
+    again = data.where(F.col("year_month") == RERUN_MONTH).withColumn("close_price", F.col("close_price") * 2)
+    write_table(again, path, partition_by=["year_month"], replace="partitions")
+    return spark.read.schema(data.schema).parquet(path)
+
+
 def union_by_name(spark, sf):
     o = X.table(spark, sf, "orders")
     early = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
@@ -253,6 +264,18 @@ def stage_counts(spark, sf):
     return c.withColumn("retained_pct", r4("retained_pct"))
 
 
+def stage_counts_observed(spark, sf):
+    """The rows of ``stage_counts`` from the job that writes the cleaned table."""
+    stages = P.ObservedStages()
+    raw = stages.mark("raw", X.table(spark, sf, "lineitem"))
+    joined = stages.mark("joined", X.sales(spark, sf, lineitem=raw))
+    residential = stages.mark("residential", joined.where(F.col("property_type") == "R"))
+    enriched = stages.mark("enriched", T.join_monthly(residential, _monthly_rates(spark, sf), "close_date"))
+    cleaned = stages.mark("cleaned", Q.apply_flags(enriched, _sales_flag_rules()))
+    stages.run(lambda: write_table(cleaned, scratch_dir(spark, "cleaned"), partition_by=["year_month"]))
+    return stages.table(spark).withColumn("retained_pct", r4("retained_pct"))
+
+
 def category_share(spark, sf):
     c = P.category_share(X.sales(spark, sf), "property_type")
     return c.withColumn("share_pct", r4("share_pct"))
@@ -455,12 +478,13 @@ def flagship(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
-    flagship, month_version_select, csv_typed_scan, csv_inferred_types, csv_inferred_scan, series_csv_scan, sink_roundtrip, union_by_name,
+    flagship, month_version_select, csv_typed_scan, csv_inferred_types, csv_inferred_scan, series_csv_scan, sink_roundtrip,
+    sink_partition_overwrite, union_by_name,
     union_promoted, drop_columns,
     drop_repeated_columns, column_profile, dtype_counts, missing_report, high_missing_columns,
     date_missing_counts, filter_category, filtered_count, iqr_filter, quartiles, histogram_bins,
     box_stats, numeric_summary, column_summary, global_median_mean, price_vs_list_share,
-    stage_counts, category_share, group_median_topk, group_median_min_size, latest_n, month_key,
+    stage_counts, stage_counts_observed, category_share, group_median_topk, group_median_min_size, latest_n, month_key,
     monthly_mean, monthly_rate_join, listings_rate_join, join_unmatched_by_month, join_validation, date_parse_coerce,
     date_parse_strict, month_year_parts, invalid_numeric_flags, date_order_flags, geo_flags,
     flag_summary, listing_flag_summary, suffix_flag_summary, future_date_flag, outlier_flag,

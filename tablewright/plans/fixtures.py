@@ -114,14 +114,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a fixture text in Spark over the parquet tables of ``sf_dir``."""
-    frames = {t: table(spark, sf_dir, t) for t in tables_in(sql)}
+def run(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
+    """Run a fixture text in Spark over the parquet tables of ``sf_dir``, or frames ``given`` for them."""
+    frames = {t: given[t] if t in given else table(spark, sf_dir, t) for t in tables_in(sql)}
     return spark.sql(sql, **frames)
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, SALES_SQL)
+def sales(spark: SparkSession, sf_dir: str, **given: DataFrame) -> DataFrame:
+    return run(spark, sf_dir, SALES_SQL, **given)
 
 
 def date_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -184,6 +184,10 @@ FROM orders
     "series_csv_scan": f"SELECT year_month, round(rate, 4) AS rate FROM ({RATES})",
     "sink_roundtrip": W_SALES + """
 SELECT l_orderkey, l_linenumber, close_price, close_date, strftime(close_date, '%Y-%m') AS year_month FROM sales
+""",
+    "sink_partition_overwrite": W_SALES + f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN strftime(close_date, '%Y-%m') = '{K.RERUN_MONTH}' THEN close_price * 2 ELSE close_price END AS close_price,
+  close_date, strftime(close_date, '%Y-%m') AS year_month FROM sales
 """,
     "union_by_name": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
@@ -351,3 +355,4 @@ WHERE rank <= 3
                                    notnull="zip IS NOT NULL AND year_month IS NOT NULL"),
     "monthly_medians": MEDIANS_BY.format(ctes=W_SALES, keys="year_month", notnull="year_month IS NOT NULL"),
 }
+SQL["stage_counts_observed"] = SQL["stage_counts"]

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tablewright.sources import csv as C
 from tablewright.sources import files as FS
+from tablewright.sources.sinks import PARTITIONS, write_table
 
 PERIOD = "period"
 # the fixed schema of Spark's binaryFile source
@@ -56,8 +57,7 @@ def land_batch(spark: SparkSession, new_paths: Sequence[str], out_path: str, pre
     landed = C.read_csv_landed(spark, sorted(r["file_path"] for r in plan), types=types, drop=drop,
                                file_name_col=SOURCE, **csv_options)
     landed = landed.withColumn(PERIOD, F.regexp_extract(SOURCE, key_pattern, 1))
-    (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PERIOD).parquet(out_path))
+    write_table(landed, out_path, partition_by=[PERIOD], replace=PARTITIONS)
     periods = sorted(r[PERIOD] for r in plan)
     kept = {r[0] for r in landed.select(PERIOD).distinct().collect()}  # at most one row per touched period
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
