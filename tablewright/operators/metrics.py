@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.dates import month_key
 from tablewright.functions.nulls import ColumnLike, col
-from tablewright.operators.quantiles import null_safe_join, quantiles, quantiles_of, value_counts
+from tablewright.operators.quantiles import dealt, null_safe_join, quantiles, quantiles_of, value_counts
 from tablewright.operators.schema import q
+from tablewright.session import materialize
 
 
 def group_median(df: DataFrame, by: str | Sequence[str], value: ColumnLike, name: str = "median",
@@ -91,9 +92,50 @@ def medians_by(df: DataFrame, by: Sequence[str], values: dict[str, ColumnLike],
         med = quantiles(base, "_x", [0.5], by=[*by, "_metric"], names=["_m"], method=method)
         sizes = _with_keys(df, by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     else:
-        counted = value_counts(base, "_x", [*by, "_metric"])
-        med = quantiles_of(counted, [0.5], [*by, "_metric"], ["_m"])
-        sizes = counted.where(F.col("_metric") == next(iter(values))).groupBy(*keys).agg(F.sum("_c").alias("n"))
-    wide = med.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == name, F.col("_m"))).alias(name)
-                                    for name in values])
+        return medians_of(value_counts(base, "_x", [*by, "_metric"]), by, list(values))
+    return _wide(med, sizes, by, list(values))
+
+
+def _wide(med: DataFrame, sizes: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    wide = med.groupBy(*[F.col(q(b)) for b in by]).agg(
+        *[F.max(F.when(F.col("_metric") == name, F.col("_m"))).alias(name) for name in names])
     return null_safe_join(sizes, wide, by)
+
+
+def medians_of(counted: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """(by..., n, <name>...) of values counted by group and ``_metric``."""
+    keys = [F.col(q(b)) for b in by]
+    med = quantiles_of(counted, [0.5], [*by, "_metric"], ["_m"])
+    sizes = counted.where(F.col("_metric") == names[0]).groupBy(*keys).agg(F.sum("_c").alias("n"))
+    return _wide(med, sizes, by, names)
+
+
+def medians_rollup(df: DataFrame, levels: dict[str, Sequence[str]], values: dict[str, ColumnLike]) -> DataFrame:
+    """(level, keys..., n, <name>...): the medians of ``medians_by`` for several groupings of one table.
+
+    ``levels``: the keys of each level by its name; keys that a level hasn't are null.  ``df`` is evaluated
+    once, counted by value at the finest grouping and written; the counts of all levels are merged from that
+    table by grouping sets, and ranked together.  A row whose key is missing is left out of the levels
+    with that key only."""
+    every = list(dict.fromkeys(k for keys in levels.values() for k in keys))
+    keys = [F.col(q(k)) for k in every]
+    pairs = [F.struct(F.lit(n).alias("_metric"), col(c).cast("double").alias("_v")) for n, c in values.items()]
+    fine = df.select(*keys, F.inline(F.array(*pairs))).withColumn("_v", F.when(~F.isnan("_v"), F.col("_v")))
+    fine = materialize(fine.groupBy(*keys, "_metric", "_v").agg(F.count(F.lit(1)).alias("_c")), "fine-counts")
+    sets = [[F.col(q(k)) for k in some] + [F.col("_metric"), F.col("_v")] for some in levels.values()]
+    # The bits of the keys that a level hasn't, from the first key to the value.
+    bit = {k: 1 << (len(every) + 1 - i) for i, k in enumerate(every)}
+    number = {name: sum(bit[k] for k in every if k not in some) for name, some in levels.items()}
+    if len(set(number.values())) < len(levels):
+        raise ValueError("two levels have the same keys")
+    merged = fine.groupingSets(sets, *keys, "_metric", "_v").agg(F.grouping_id().alias("_level"), F.sum("_c").alias("_c"))
+    level, whole = F.lit(None).cast("string"), F.lit(False)
+    for name, some in levels.items():
+        mine = F.col("_level") == number[name]
+        level = F.when(mine, name).otherwise(level)
+        present = mine
+        for k in some:
+            present = present & F.col(q(k)).isNotNull()
+        whole = whole | present
+    merged = merged.where(whole).withColumn("level", level).drop("_level")
+    return medians_of(dealt(merged, ["level", *every, "_metric"]), ["level", *every], list(values))

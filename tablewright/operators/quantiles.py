@@ -58,6 +58,12 @@ def value_counts(df: DataFrame, value: ColumnLike, by: Sequence[str] = (),
     keys = [F.col(q(k)) for k in by]
     counts = base.groupBy(*keys, "_v").agg(
         F.count(F.lit(1)).alias("_c"), *[F.sum(n).alias(n) for n in extra], *[F.count(n).alias(f"{n}_n") for n in extra])
+    return dealt(counts, by)
+
+
+def dealt(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counted values (by..., ``_v``, ``_c``) dealt to range partitions and written with their number."""
+    keys = [F.col(q(k)) for k in by]
     return materialize(counts.repartitionByRange(*keys, F.col("_v")).withColumn("_part", F.spark_partition_id()), "value-counts")
 
 

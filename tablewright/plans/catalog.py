@@ -17,7 +17,9 @@ from tablewright.operators import metrics as M
 from tablewright.operators import profile as P
 from tablewright.operators import quality as Q
 from tablewright.operators import schema as S
+from tablewright.operators import sketches as K
 from tablewright.operators import timeseries as T
+from tablewright.operators.incremental import MonthlyState
 from tablewright.operators.promotion import union_promoted as union_promoted_frames
 from tablewright.operators.quantiles import null_safe_join, quantiles, quantiles_of, value_counts
 from tablewright.plans import fixtures as X
@@ -40,6 +42,7 @@ AS_OF = "2000-01-01"
 FILTER_COUNTY = "NATION_7"
 MIN_GROUP_SIZE = 35
 RERUN_MONTH = "1995-03"
+SKETCH_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
 def r4(c):
@@ -460,6 +463,62 @@ def monthly_medians(spark, sf):
                     r4("median_days_on_market").alias("median_days_on_market"))
 
 
+def trend_hierarchy(spark, sf):
+    """The trends by ZIP, by county and of all sales from one table of counted values."""
+    s = T.with_month_key(X.sales(spark, sf), "close_date")
+    levels = {"zip": ["zip", "year_month"], "county": ["county", "year_month"], "all": ["year_month"]}
+    m = M.medians_rollup(s, levels, {"median_close_price": "close_price", "median_days_on_market": "days_on_market"})
+    return m.select("level", "zip", "county", "year_month", "n", r4("median_close_price").alias("median_close_price"),
+                    r4("median_days_on_market").alias("median_days_on_market"))
+
+
+def sketch_quantile_error(spark, sf):
+    """Quantiles by county and year merged from sketches by county and month: whether their exact ranks lie within
+    the stated error, with the number of values."""
+    s = T.with_month_key(X.sales(spark, sf), "close_date").where(F.col("county").isNotNull())
+    state = write_table(K.sketch_state(s, ["county", "year_month"], {"close_price": "close_price"}), scratch_dir(spark, "sketches"),
+                        partition_by=["year_month"])
+    year = F.substring("year_month", 1, 4)
+    state = spark.read.parquet(state).withColumn("year_month", F.col("year_month").cast("string")).withColumn("year", year)
+    found = K.sketched_quantiles(state, SKETCH_PROBS, ["county", "year"], ["close_price"])
+    ranked = K.rank_bounds(s.withColumn("year", year), found, ["county", "year"], "close_price", "close_price")
+    error = K.rank_error()
+    inside = (F.col("below") - error <= F.col("p")) & (F.col("up_to") + error >= F.col("p"))
+    return ranked.select("county", "year", "p", "n_values", inside.alias("within_error"))
+
+
+def _kpi_state(spark, path):
+    valid = ~(F.coalesce(F.col("close_price") <= 0, F.lit(False)) | F.coalesce(F.col("living_area") <= 0, F.lit(False))
+              | F.coalesce(F.col("days_on_market") < 0, F.lit(False)) | F.coalesce(F.col("bedrooms") < 0, F.lit(False))
+              | F.coalesce(F.col("bathrooms") < 0, F.lit(False)))
+    return MonthlyState(path, "year_month", ("county",), values={
+        "price_per_unit": F.when(valid, M.ratio("close_price", "living_area")), "sale_to_list": F.when(valid, M.ratio("close_price", "list_price")),
+        "close_price": F.col("close_price"), "days_on_market": F.col("days_on_market")},
+        sums={"agents": (F.col("agent"), F.col("close_price")), "listed": (D.month_key("listing_date"), F.lit(None))})
+
+
+def kpis_after_month_replaced(spark, sf):
+    """K1 to K4 and K6 after one month of the landed sales was replaced: its state alone is written again."""
+    landed = scratch_dir(spark, "landed")
+    sales = T.with_month_key(X.sales(spark, sf), "close_date")
+    write_table(sales, landed, partition_by=["year_month"])
+    read = lambda: spark.read.schema(sales.schema).parquet(landed)
+    state = _kpi_state(spark, scratch_dir(spark, "kpis"))
+    state.refresh(read())
+    month = F.col("year_month") == RERUN_MONTH
+    filled = sales.where(month & (F.col("l_orderkey") % 10 != 0)).withColumn("close_price", F.col("close_price") * 2)
+    write_table(filled, landed, partition_by=["year_month"], replace="partitions")
+    state.refresh(read().where(month), [RERUN_MONTH])
+    row = lambda df, kpi, key, n, value: df.select(kpi.alias("kpi"), key.alias("key"), n.alias("n"), r4(value).alias("value"))
+    parts = [row(state.medians(spark, ["county"], ["price_per_unit"]), F.col("metric"), F.col("county"), F.col("n"), F.col("value")),
+             row(state.medians(spark, ["year_month"], ["sale_to_list", "close_price", "days_on_market"]),
+                 F.col("metric"), F.col("year_month"), F.col("n"), F.col("value")),
+             row(M.top_n(state.totals(spark, "agents").withColumn("amount", r4("amount")), "amount", 10, tiebreak=["key"]),
+                 F.lit("agent_volume"), F.col("key"), F.col("n"), F.col("amount")),
+             row(state.totals(spark, "listed"), F.lit("new_listings"), F.col("key"), F.col("n"), F.lit(None).cast("double"))]
+    return S.union_by_name(parts)
+
+
 # -- the flagship: filter -> monthly rate -> join -> flags -> county medians --
 
 def flagship(spark, sf):
@@ -489,5 +548,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     date_parse_strict, month_year_parts, invalid_numeric_flags, date_order_flags, geo_flags,
     flag_summary, listing_flag_summary, suffix_flag_summary, future_date_flag, outlier_flag,
     price_per_unit_median, sale_to_list_by_month, new_vs_closed, top_agents, top_offices, top_agents_by_month,
-    regional_trend, zip_trend, monthly_medians,
+    regional_trend, zip_trend, monthly_medians, trend_hierarchy, sketch_quantile_error, kpis_after_month_replaced,
 ]}

