@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.nulls import ColumnLike, col
 from tablewright.operators.quantiles import attach, fence, iqr_bounds, quantiles, quantiles_of, value_counts, within
 from tablewright.operators.schema import column_metadata, q
+from tablewright.session import observed
 
 DESCRIBE_PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -196,7 +197,7 @@ def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
         out = out.unionByName(p)
     first = parts[0].select(F.col("n_rows").alias("_first"))
     return (attach(out, first)
-            .withColumn("retained_pct", F.col("n_rows") / F.col("_first") * F.lit(100.0))
+            .withColumn("retained_pct", F.try_divide(F.col("n_rows"), F.col("_first")) * F.lit(100.0))
             .drop("_first").orderBy("step"))
 
 
@@ -209,7 +210,8 @@ class ObservedStages:
 
     Spark adds a counter up again when it repeats a finished task because an executor
     with its shuffle files was lost.  ``run`` sees that from the attempts of its stages;
-    the counts are then taken by ``stage_counts`` instead, with a scan of their own."""
+    the counts are then taken by ``stage_counts`` instead, with a scan of their own.  So
+    they are if a stage wasn't counted, because a later one turned out to be empty."""
 
     def __init__(self) -> None:
         self._marks: list[tuple[str, DataFrame, Observation]] = []
@@ -242,9 +244,9 @@ class ObservedStages:
         """(step, stage, n_rows, n_columns, retained_pct) with the first stage as 100 %."""
         if self.repeated is None:
             raise ValueError("run the action first")
-        if self.repeated:
+        counts = [(i, name, observed(seen).get("n_rows"), len(df.columns)) for i, (name, df, seen) in enumerate(self._marks)]
+        if self.repeated or any(n is None for _, _, n, _ in counts):
             return stage_counts([(name, df) for name, df, _ in self._marks])
-        counts = [(i, name, seen.get["n_rows"], len(df.columns)) for i, (name, df, seen) in enumerate(self._marks)]
         rows = spark.createDataFrame(counts, "step int, stage string, n_rows long, n_columns int")
         first = counts[0][2]
         return rows.withColumn("retained_pct", F.try_divide(F.col("n_rows"), F.lit(first)) * F.lit(100.0)).orderBy("step")

@@ -27,6 +27,7 @@ from tablewright.session import scratch_dir
 from tablewright.sources import csv as C
 from tablewright.sources import files as FS
 from tablewright.sources.sinks import write_table
+from tablewright.streaming.monthly import read_monthly_sums, start_monthly_mean
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,7 @@ AS_OF = "2000-01-01"
 FILTER_COUNTY = "NATION_7"
 MIN_GROUP_SIZE = 35
 RERUN_MONTH = "1995-03"
+VOTED = ("listed", "closed", "status")
 SKETCH_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
@@ -312,6 +314,22 @@ def monthly_mean(spark, sf):
     return _monthly_rates(spark, sf).withColumn("rate", r4("rate"))
 
 
+def monthly_mean_stream(spark, sf):
+    """The monthly mean of the series that arrives year by year, a seventh of each year's rows a year late."""
+    series = S.rename_positional(X.rate_series(spark, sf), ["date", "value"])
+    series = series.withColumn("arrives", F.year("date") + (F.day("date") % 7 == 0).cast("int"))
+    drop, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "monthly")
+    for year in sorted(r[0] for r in series.select("arrives").distinct().collect()):  # a row for each year
+        series.where(F.col("arrives") == year).select("date", "value").hint("rebalance").write.parquet(f"{drop}/{year}")
+    stream = (spark.readStream.schema("date date, value double").option("recursiveFileLookup", True)
+              .option("maxFilesPerTrigger", 1).parquet(drop))
+    start_monthly_mean(stream, "date", "value", out, scratch_dir(spark, "monthly-state"), delay="800 days",
+                       available_now=True).awaitTermination()
+    # Cents: a sum in another order may differ in its last bits.
+    sums = read_monthly_sums(spark, out).withColumn("total", F.round("total", 2))
+    return sums.withColumn("rate", r4(F.try_divide("total", "n")))
+
+
 def monthly_rate_join(spark, sf):
     j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date")
     return j.select("l_orderkey", "l_linenumber", "close_date", "year_month", r4("rate").alias("rate"))
@@ -339,6 +357,16 @@ def date_parse_coerce(spark, sf):
     return d.withColumn("close_date", D.parse_date_coerce("close_date_text"))
 
 
+def date_format_votes(spark, sf):
+    """Votes of all texts of three columns for the format they are written in."""
+    return D.date_format_votes(X.run(spark, sf, X.DATE_FORMATS_SQL), list(VOTED))
+
+
+def date_parse_voted(spark, sf):
+    """The columns parsed by the format that wins."""
+    return D.coerce_voted(X.run(spark, sf, X.DATE_FORMATS_SQL), list(VOTED))
+
+
 def date_parse_strict(spark, sf):
     o = X.table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("order_date_text"))
@@ -544,8 +572,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     date_missing_counts, filter_category, filtered_count, iqr_filter, quartiles, histogram_bins,
     box_stats, numeric_summary, column_summary, global_median_mean, price_vs_list_share,
     stage_counts, stage_counts_observed, category_share, group_median_topk, group_median_min_size, latest_n, month_key,
-    monthly_mean, monthly_rate_join, listings_rate_join, join_unmatched_by_month, join_validation, date_parse_coerce,
-    date_parse_strict, month_year_parts, invalid_numeric_flags, date_order_flags, geo_flags,
+    monthly_mean, monthly_mean_stream, monthly_rate_join, listings_rate_join, join_unmatched_by_month, join_validation, date_parse_coerce,
+    date_format_votes, date_parse_voted, date_parse_strict, month_year_parts, invalid_numeric_flags, date_order_flags, geo_flags,
     flag_summary, listing_flag_summary, suffix_flag_summary, future_date_flag, outlier_flag,
     price_per_unit_median, sale_to_list_by_month, new_vs_closed, top_agents, top_offices, top_agents_by_month,
     regional_trend, zip_trend, monthly_medians, trend_hierarchy, sketch_quantile_error, kpis_after_month_replaced,

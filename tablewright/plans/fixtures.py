@@ -72,6 +72,15 @@ RATE_SERIES_SQL = """
 SELECT CAST(o_orderdate AS DATE) AS observation_date, o_totalprice AS value FROM {orders}
 """
 
+# Dates as text in several formats: one column is mostly month first, one mostly day first, one has no date.
+DATE_FORMATS_SQL = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 10 = 0 THEN d WHEN o_orderkey % 31 = 0 THEN NULL ELSE substr(d, 6, 2) || '/' || substr(d, 9, 2) || '/' || substr(d, 1, 4) END AS listed,
+  CASE WHEN o_orderkey % 9 = 0 THEN 'unknown' ELSE substr(d, 9, 2) || '/' || substr(d, 6, 2) || '/' || substr(d, 1, 4) END AS closed,
+  o_orderstatus AS status
+FROM (SELECT *, CAST(CAST(o_orderdate AS DATE) AS STRING) AS d FROM {orders})
+"""
+
 # Orders as the text of two extracts whose headers and types drift: whole numbers against decimals, dates
 # against other text, numbers too long for a double, a column of missing tokens only.
 DRIFT_ODD_SQL = """

@@ -8,7 +8,7 @@ fixture texts.  Column names equal the Spark ones.
 from __future__ import annotations
 
 from tablewright.plans import catalog as K
-from tablewright.plans.fixtures import (DATE_TEXT_SQL, DRIFT_EVEN_SQL, DRIFT_ODD_SQL, EVENT_FILES_SQL, RATE_SERIES_SQL,
+from tablewright.plans.fixtures import (DATE_FORMATS_SQL, DATE_TEXT_SQL, DRIFT_EVEN_SQL, DRIFT_ODD_SQL, EVENT_FILES_SQL, RATE_SERIES_SQL,
                                         SALES_SQL, for_duckdb)
 
 
@@ -357,6 +357,23 @@ WHERE rank <= 3
 }
 SQL["stage_counts_observed"] = SQL["stage_counts"]
 
+SQL["monthly_mean_stream"] = f"""
+SELECT year_month, total, n, round(total / n, 4) AS rate
+FROM (SELECT strftime(observation_date, '%Y-%m') AS year_month, round(sum(value), 2) AS total, count(value) AS n
+      FROM ({for_duckdb(RATE_SERIES_SQL)}) GROUP BY 1)"""
+
+# The candidate formats as DuckDB writes them.
+FORMATS = {"yyyy-MM-dd": "%Y-%m-%d", "MM/dd/yyyy": "%m/%d/%Y", "dd/MM/yyyy": "%d/%m/%Y", "yyyyMMdd": "%Y%m%d",
+           "dd.MM.yyyy": "%d.%m.%Y", "yyyy/MM/dd": "%Y/%m/%d"}
+SQL["date_format_votes"] = _with(f=for_duckdb(DATE_FORMATS_SQL)) + ", t AS (" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", {j} AS position, '{spark}' AS format, count({c}) AS n_present,
+  count(try_strptime({c}, '{duck}')) AS n_parsed FROM f""" for c in K.VOTED for j, (spark, duck) in enumerate(FORMATS.items())) + """)
+SELECT *, n_present - n_parsed AS n_blanked,
+  n_parsed > 0 AND row_number() OVER (PARTITION BY "column" ORDER BY n_parsed DESC, position) = 1 AS chosen FROM t"""
+SQL["date_parse_voted"] = _with(f=for_duckdb(DATE_FORMATS_SQL)) + """
+SELECT o_orderkey, CAST(try_strptime(listed, '%m/%d/%Y') AS DATE) AS listed, CAST(try_strptime(closed, '%d/%m/%Y') AS DATE) AS closed,
+  CAST(NULL AS DATE) AS status FROM f"""
+
 MONTHS = W_SALES + ", m AS (SELECT *, strftime(close_date, '%Y-%m') AS year_month FROM sales)"
 _TREND = """SELECT '{level}' AS level, {zip} AS zip, {county} AS county, year_month, count(*) AS n,
   round(quantile_cont(close_price, 0.5), 4) AS median_close_price, round(quantile_cont(days_on_market, 0.5), 4) AS median_days_on_market

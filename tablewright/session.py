@@ -13,7 +13,8 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Defaults applied only when the caller did not set them.
 _DEFAULTS = {
@@ -121,6 +122,15 @@ def settings(spark: SparkSession, conf: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def observed(seen: Observation) -> dict:
+    """The metrics of an observation, none if Spark left its part of the plan out: a part whose
+    rows can't matter, because what it is joined with or filtered by turned out to be empty."""
+    try:
+        return seen.get
+    except Py4JJavaError:  # raised for a row without columns
+        return {}
+
+
 def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Session settings for a given input volume.
 

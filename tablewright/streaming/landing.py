@@ -4,25 +4,28 @@ A file stream over the folder yields only the *names* of new extract files
 (``binaryFile`` with just the ``path`` column selected never reads file
 contents).  Each micro-batch:
 
-1. appends the new names to a manifest table kept next to the output;
-2. re-decides the chosen version of every period the new files touch
-   (``select_versions`` over the whole manifest: a late ``_filled`` file
-   replaces the plain one);
+1. merges the new names into a manifest kept next to the output: one row a period, in
+   a partition of its own, with the first name and the last preferred one.  The rule of
+   ``select_versions`` needs no more, so a batch reads and writes the rows of the periods
+   it touches, however many names came before;
+2. re-decides the chosen version of every period the new files touch (a late
+   ``_filled`` file replaces the plain one);
 3. lands the chosen files of those periods (per header group, typed) and
    overwrites exactly those period partitions of the output table.
 
-Steps 2-3 depend only on the manifest, so replaying a batch after a failure
-writes the same partitions again (idempotent).
+Steps 2-3 depend only on the manifest, and merging names once more changes nothing, so
+replaying a batch after a failure writes the same partitions again (idempotent).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tablewright.session import observed
 from tablewright.sources import csv as C
 from tablewright.sources import files as FS
 from tablewright.sources.sinks import PARTITIONS, write_table
@@ -33,6 +36,34 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 SOURCE = "_source_file"
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def merge_names(spark: SparkSession, manifest_path: str, new_paths: Sequence[str], key_pattern: str,
+                preferred: str = "_filled") -> dict[str, str]:
+    """Merge new files into the manifest; the chosen path of each period that they touch.
+
+    A manifest row is a period's first name and last preferred name with their paths: minimum and
+    maximum, so merging is idempotent and the order of batches doesn't matter."""
+    name, path = F.col("file_name"), F.col("file_path")
+    found = FS.manifest(spark, list(new_paths)).select(
+        F.regexp_extract("file_name", key_pattern, 1).alias(PERIOD), F.struct(name, path).alias("first"),
+        F.when(name.contains(preferred), F.struct(name, path)).alias("preferred")).where(F.col(PERIOD) != "")
+    touched = sorted(r[0] for r in found.select(PERIOD).distinct().collect())  # at most one for each new name
+    if not touched:
+        return {}
+    known = [f"{manifest_path}/{PERIOD}={p}" for p in touched]
+    known = [k for k in known if (lambda p, fs: fs.exists(p))(*_path(spark, k))]
+    if known:
+        old = spark.read.schema(found.schema).option("basePath", manifest_path).parquet(*known)
+        found = found.unionByName(old.select(*found.columns))
+    rows = found.groupBy(PERIOD).agg(F.min("first").alias("first"), F.max("preferred").alias("preferred")).collect()
+    write_table(spark.createDataFrame(rows, found.schema), manifest_path, partition_by=[PERIOD], replace=PARTITIONS)
+    return {r[PERIOD]: (r["preferred"] or r["first"])["file_path"] for r in rows}
+
+
 def land_batch(spark: SparkSession, new_paths: Sequence[str], out_path: str, prefix: str,
                key_pattern: str | None = None, preferred: str = "_filled",
                types: Mapping[str, str] | None = None, drop: Sequence[str] = (), **csv_options) -> list[str]:
@@ -42,28 +73,22 @@ def land_batch(spark: SparkSession, new_paths: Sequence[str], out_path: str, pre
     may have different columns: read the output with ``mergeSchema``
     (``read_landed``)."""
     key_pattern = key_pattern or FS.period_pattern(prefix)
-    manifest_path = f"{out_path}/_manifest"
-    FS.manifest(spark, list(new_paths)).write.mode("append").parquet(manifest_path)
-    everything = spark.read.parquet(manifest_path).distinct()
-    chosen = FS.select_versions(everything, "file_name", key_pattern=key_pattern, preferred=preferred,
-                                key=PERIOD, carry="file_path")
-    touched = (FS.manifest(spark, list(new_paths))
-               .select(F.regexp_extract("file_name", key_pattern, 1).alias(PERIOD))
-               .where(F.col(PERIOD) != "").distinct())
     # one row per touched period: the paths needed to plan the scans
-    plan = chosen.join(touched, PERIOD, "left_semi").collect()
-    if not plan:
+    chosen = merge_names(spark, f"{out_path}/_manifest", new_paths, key_pattern, preferred)
+    if not chosen:
         return []
-    landed = C.read_csv_landed(spark, sorted(r["file_path"] for r in plan), types=types, drop=drop,
+    landed = C.read_csv_landed(spark, sorted(chosen.values()), types=types, drop=drop,
                                file_name_col=SOURCE, **csv_options)
     landed = landed.withColumn(PERIOD, F.regexp_extract(SOURCE, key_pattern, 1))
+    # Which periods have rows is seen by the job that writes them.
+    seen, periods = Observation(), sorted(chosen)
+    landed = landed.observe(seen, *[F.max(F.when(F.col(PERIOD) == p, 1)).alias(p) for p in periods])
     write_table(landed, out_path, partition_by=[PERIOD], replace=PARTITIONS)
-    periods = sorted(r[PERIOD] for r in plan)
-    kept = {r[0] for r in landed.select(PERIOD).distinct().collect()}  # at most one row per touched period
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for period in set(periods) - kept:
-        old = jvm.org.apache.hadoop.fs.Path(f"{out_path}/{PERIOD}={period}")
-        old.getFileSystem(conf).delete(old, True)
+    rows = observed(seen)
+    for period in periods:
+        if not rows.get(period):
+            old, fs = _path(spark, f"{out_path}/{PERIOD}={period}")
+            fs.delete(old, True)
     return periods
 
 

@@ -107,3 +107,13 @@ def test_repeated_stages_are_counted_again(spark):
     empty = none.mark("empty", spark.range(0))
     none.run(empty.collect)
     assert [tuple(r) for r in none.table(spark).collect()] == [(0, "empty", 0, 1, None)]
+
+
+def test_a_stage_that_is_left_out_is_counted(spark):
+    """Adaptive execution drops what is joined with nothing, its counter with it."""
+    stages = P.ObservedStages()
+    many = stages.mark("many", spark.range(1000).withColumn("k", F.col("id") % 7))
+    none = spark.range(1000).where("id < 0").select((F.col("id") % 7).alias("k")).distinct()
+    joined = stages.mark("joined", many.join(none, "k").repartition(3))
+    stages.run(joined.collect)
+    assert [tuple(r)[1:3] for r in stages.table(spark).collect()] == [("many", 1000), ("joined", 0)]
