@@ -5,7 +5,8 @@ of a vocabulary whose scores sum highest.  The best score of a prefix doesn't
 depend on what follows, so the distinct pre-tokens of a task are inserted in a
 trie, each node computes the best score of its prefix once, whatever number of
 pre-tokens pass through it, and the node where a pre-token ends holds its
-count of pieces.  Documents add up the counts of their words.
+count of pieces.  A node extends the pieces that its parent left open, by one step
+in a trie of the pieces.  Documents add up the counts of their words.
 
 The vocabulary is that of a public tokenizer; its pieces come in order of rank,
 and a piece's score is the logarithm of ``1 / (rank + SHIFT)``, shared out over
@@ -20,6 +21,7 @@ when it has ``MOST_NODES`` nodes, which costs work but changes no result.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
@@ -34,7 +36,9 @@ MARK = "▁"
 SHIFT = 2.7
 #: Added to the score of the rarest piece for each byte read alone, in millionths.
 BYTE_PENALTY = -5_000_000
-MOST_NODES, STEP_BYTES = 400_000, 4 << 20
+MOST_NODES = 600_000
+#: Bits of the packed numbers of pieces and bytes: more than any text has.
+FIELD = 40
 
 
 def unigram(path: str | None = None) -> tuple[dict[str, int], int]:
@@ -53,47 +57,71 @@ def unigram(path: str | None = None) -> tuple[dict[str, int], int]:
     return pieces, min(pieces.values()) + BYTE_PENALTY
 
 
+def packed(score: int, pieces: int, alone: int) -> int:
+    """One number that orders as (score, fewer pieces, fewer bytes) and adds up as they do."""
+    return (score << 2 * FIELD) - (pieces << FIELD) - alone
+
+
+def unpacked(total: int) -> tuple[int, int, int]:
+    """Score, pieces and bytes among them of a sum of packed numbers."""
+    low = (1 << FIELD) - 1
+    return -(-total >> 2 * FIELD), -total >> FIELD & low, -total & low
+
+
 class Trie:
-    """Forward scores of all prefixes of the inserted words."""
+    """Forward scores of all prefixes of the inserted words.
+
+    The pieces are a trie of their own, walked along: a node knows the pieces that begin within its prefix and
+    may go on (place in the trie of pieces, score up to their beginning), so a child extends those few instead
+    of looking up all substrings that end in it."""
 
     def __init__(self, pieces: dict[str, int], byte: int):
-        self.pieces, self.byte, self.longest = pieces, byte, max(map(len, pieces), default=1)
-        self.words: dict[bytes, tuple[int, int, int]] = {}
+        self.bytes = [packed(n * byte, n, n) for n in range(5)]
+        self.pieces: dict = {}
+        for name, score in pieces.items():
+            at = self.pieces
+            for c in name:
+                at = at.setdefault(c, {})
+            at[""] = packed(score, 1, 0)
+        self.words: dict[bytes, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
-        self.best: list[tuple[int, int, int]] = [(0, 0, 0)]  # score, - pieces, - bytes
+        self.best: list[int] = [0]
+        self.open: list[list[tuple[dict, int]]] = [[]]
         self.words.clear()
 
     def insert(self, word: bytes) -> tuple[int, int, int]:
         """The score, pieces and bytes among them of a word, from its node."""
-        text = MARK + word.decode()
-        node, path = 0, [self.best[0]]
-        for j, c in enumerate(text):
-            child = self.children[node].get(c)
-            if child is None:
-                child = self.children[node][c] = len(self.best)
-                self.children.append({})
-                self.best.append(self._forward(text, j + 1, path))
-            node = child
-            path.append(self.best[node])
-        score, pieces, alone = path[-1]
-        found = self.words[word] = (score, -pieces, -alone)
+        return unpacked(self.add(word))
+
+    def add(self, word: bytes) -> int:
+        children, node = self.children, 0
+        for c in MARK + word.decode():
+            child = children[node].get(c)
+            node = self._child(node, c) if child is None else child
+        found = self.words[word] = self.best[node]
         return found
 
-    def _forward(self, text: str, end: int, path: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-        n = len(text[end - 1].encode())
-        score, pieces, alone = path[end - 1]
-        best = (score + n * self.byte, pieces - n, alone - n)
-        known = self.pieces
-        for start in range(max(0, end - self.longest), end):
-            s = known.get(text[start:end])
-            if s is not None:
-                score, pieces, alone = path[start]
-                if (other := (score + s, pieces - 1, alone)) > best:
-                    best = other
-        return best
+    def _child(self, node: int, c: str) -> int:
+        before, ahead = self.best[node], []
+        best = before + self.bytes[1 if c < "\x80" else len(c.encode())]
+        for piece, start in (*self.open[node], (self.pieces, before)):
+            piece = piece.get(c)
+            if piece is not None:
+                ends = piece.get("")
+                if ends is not None:
+                    if start + ends > best:
+                        best = start + ends
+                    if len(piece) == 1:
+                        continue
+                ahead.append((piece, start))
+        child = self.children[node][c] = len(self.best)
+        self.children.append({})
+        self.best.append(best)
+        self.open.append(ahead)
+        return child
 
 
 _tries: dict[str | None, Trie] = {}
@@ -111,19 +139,25 @@ def count_tokens(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             _tries.clear()
             _tries[vocabulary] = Trie(*shared.value)
         trie = _tries[vocabulary]
-        for batch in batches:
-            rows = []
-            for value in batch.column(len(keep)).cast(pa.binary()):
-                words = value.as_buffer().to_pybytes().split() if value.is_valid else []
-                if len(trie.best) > MOST_NODES:
-                    trie.clear()
-                for w in set(words).difference(trie.words):
-                    trie.insert(w)
-                found = [trie.words[w] for w in words]
-                rows.append((len(words), *(sum(f[k] for f in found) for k in (1, 2, 0))))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))),
-                                              *(pa.array(c, pa.int64()) for c in columns)], names=names)
+        collects = gc.isenabled()
+        gc.disable()  # the tries have no cycles, and looking for some in all their nodes costs more than they do
+        try:
+            for batch in batches:
+                rows = []
+                for value in batch.column(len(keep)).cast(pa.binary()):
+                    words = value.as_buffer().to_pybytes().split() if value.is_valid else []
+                    if len(trie.best) > MOST_NODES:
+                        trie.clear()
+                    for w in set(words).difference(trie.words):
+                        trie.add(w)
+                    score, pieces, alone = unpacked(sum(map(trie.words.__getitem__, words)))
+                    rows.append((len(words), pieces, alone, score))
+                columns = list(zip(*rows)) if rows else [()] * 4
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))),
+                                                  *(pa.array(c, pa.int64()) for c in columns)], names=names)
+        finally:
+            if collects:
+                gc.enable()
 
     rows = docs.select(*keep, text)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
