@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.nulls import ColumnLike, col
@@ -56,6 +56,13 @@ def dtype_counts(profile: DataFrame) -> DataFrame:
     return profile.groupBy("dtype").agg(F.count(F.lit(1)).alias("n"))
 
 
+def dtype_profile(profile: DataFrame) -> DataFrame:
+    """(dtype, n_columns, n_empty, n_missing): the columns of each type in a ``column_profile``, how many of them
+    hold no value at all, and their missing values together."""
+    return profile.groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"), F.count_if(F.col("missing_pct") == 100).alias("n_empty"),
+                                        F.sum("missing_count").alias("n_missing"))
+
+
 def numeric_summary(df: DataFrame, columns: Sequence[str],
                     percentiles: Sequence[float] = DESCRIBE_PERCENTILES,
                     method: str = "exact") -> DataFrame:
@@ -253,9 +260,10 @@ class ObservedStages:
 
 
 def category_share(df: DataFrame, column: str) -> DataFrame:
-    """(value, n, share_pct): share of *all* rows; missing values form no group."""
-    counts = (df.where(F.col(q(column)).isNotNull())
-              .groupBy(F.col(q(column)).alias("value")).agg(F.count(F.lit(1)).alias("n")))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (attach(counts, total).withColumn("share_pct", F.col("n") / F.col("_total") * F.lit(100.0))
-            .drop("_total"))
+    """(value, n, share_pct): share of *all* rows; missing values form no group.
+
+    ``df`` is evaluated once: the total is that of the counts, one row for each value."""
+    counts = df.groupBy(F.col(q(column)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return (counts.withColumn("share_pct", F.col("n") / total * F.lit(100.0))
+            .where(F.col("value").isNotNull()))

@@ -25,18 +25,20 @@ def monthly_mean(series: DataFrame, date: ColumnLike, value: ColumnLike,
             .groupBy(key).agg(F.avg("_v").alias(name)))
 
 
-def join_monthly(fact: DataFrame, monthly: DataFrame, date: ColumnLike, key: str = KEY) -> DataFrame:
+def join_monthly(fact: DataFrame, monthly: DataFrame, date: ColumnLike, key: str = KEY, unique: bool = False) -> DataFrame:
     """Left join of a monthly table onto every fact row by the month of ``date``.
 
     Fact rows are kept one for one: a month that occurs twice in ``monthly``
-    fails the job instead of doubling rows.  The broadcast side has a proven
-    bound: keys that aren't ``yyyy-MM`` can't match and are left out, and a
-    key occurs once, so it has at most 12 rows for each of 9999 years."""
-    others = [c for c in monthly.columns if c != key]
-    once = (monthly.where(F.col(key).rlike("^[0-9]{4}-(0[1-9]|1[0-2])$")).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_times"), *[F.first(q(c)).alias(c) for c in others]))
-    twice = F.raise_error(F.concat(F.lit("month occurs more than once: "), F.col(key)))
-    once = once.where(F.when(F.col("_times") == 1, True).otherwise(twice.cast("boolean"))).drop("_times")
+    fails the job instead of doubling rows.  ``unique`` says that none does, as in a
+    table that was just grouped by it (``monthly_mean``), and saves grouping it again.
+    The broadcast side has a proven bound: keys that aren't ``yyyy-MM`` can't match and are
+    left out, and a key occurs once, so it has at most 12 rows for each of 9999 years."""
+    once = monthly.where(F.col(key).rlike("^[0-9]{4}-(0[1-9]|1[0-2])$"))
+    if not unique:
+        others = [c for c in monthly.columns if c != key]
+        once = once.groupBy(key).agg(F.count(F.lit(1)).alias("_times"), *[F.first(q(c)).alias(c) for c in others])
+        twice = F.raise_error(F.concat(F.lit("month occurs more than once: "), F.col(key)))
+        once = once.where(F.when(F.col("_times") == 1, True).otherwise(twice.cast("boolean"))).drop("_times")
     return with_month_key(fact, date, key).join(F.broadcast(once), key, "left")
 
 

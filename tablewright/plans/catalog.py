@@ -197,6 +197,11 @@ def dtype_counts(spark, sf):
     return P.dtype_counts(S.column_metadata(spark, X.sales(spark, sf)))
 
 
+def dtype_profile(spark, sf):
+    """Columns, present and missing values by type, of all rows."""
+    return P.dtype_profile(P.column_profile(spark, X.sales(spark, sf)))
+
+
 def missing_report(spark, sf):
     return P.missing_report(X.sales(spark, sf))
 
@@ -260,7 +265,7 @@ def price_vs_list_share(spark, sf):
 
 def stage_counts(spark, sf):
     sales = X.sales(spark, sf)
-    enriched = T.join_monthly(sales, _monthly_rates(spark, sf), "close_date")
+    enriched = T.join_monthly(sales, _monthly_rates(spark, sf), "close_date", unique=True)
     cleaned = Q.apply_flags(enriched, _sales_flag_rules())
     residential = F.col("property_type") == "R"
     c = P.nested_stage_counts(("raw", X.table(spark, sf, "lineitem")), cleaned, [
@@ -275,7 +280,7 @@ def stage_counts_observed(spark, sf):
     raw = stages.mark("raw", X.table(spark, sf, "lineitem"))
     joined = stages.mark("joined", X.sales(spark, sf, lineitem=raw))
     residential = stages.mark("residential", joined.where(F.col("property_type") == "R"))
-    enriched = stages.mark("enriched", T.join_monthly(residential, _monthly_rates(spark, sf), "close_date"))
+    enriched = stages.mark("enriched", T.join_monthly(residential, _monthly_rates(spark, sf), "close_date", unique=True))
     cleaned = stages.mark("cleaned", Q.apply_flags(enriched, _sales_flag_rules()))
     stages.run(lambda: write_table(cleaned, scratch_dir(spark, "cleaned"), partition_by=["year_month"]))
     return stages.table(spark).withColumn("retained_pct", r4("retained_pct"))
@@ -331,24 +336,24 @@ def monthly_mean_stream(spark, sf):
 
 
 def monthly_rate_join(spark, sf):
-    j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date")
+    j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date", unique=True)
     return j.select("l_orderkey", "l_linenumber", "close_date", "year_month", r4("rate").alias("rate"))
 
 
 def listings_rate_join(spark, sf):
     """The listings side of the enrichment: its key is the listing date, as text here."""
     listings = X.sales(spark, sf).select("l_orderkey", "l_linenumber", F.col("listing_date").cast("string").alias("listing_date"))
-    j = T.join_monthly(D.strict_dates(listings, "listing_date"), _monthly_rates(spark, sf), "listing_date")
+    j = T.join_monthly(D.strict_dates(listings, "listing_date"), _monthly_rates(spark, sf), "listing_date", unique=True)
     return j.select("l_orderkey", "l_linenumber", "listing_date", "year_month", r4("rate").alias("rate"))
 
 
 def join_unmatched_by_month(spark, sf):
-    j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date")
+    j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date", unique=True)
     return T.unmatched_by_month(j, "rate")
 
 
 def join_validation(spark, sf):
-    j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date")
+    j = T.join_monthly(X.sales(spark, sf), _monthly_rates(spark, sf), "close_date", unique=True)
     return T.join_validation(j, "rate")
 
 
@@ -551,7 +556,7 @@ def kpis_after_month_replaced(spark, sf):
 
 def flagship(spark, sf):
     residential = X.sales(spark, sf).where(F.col("property_type") == "R")
-    enriched = T.join_monthly(residential, _monthly_rates(spark, sf), "close_date")
+    enriched = T.join_monthly(residential, _monthly_rates(spark, sf), "close_date", unique=True)
     flagged = Q.apply_flags(enriched, Q.date_order_rules("listing_date", "purchase_date", "close_date"))
     consistent = flagged.where(~(F.col("listing_after_close_flag") | F.col("purchase_after_close_flag")
                                  | F.col("negative_timeline_flag")))
@@ -568,7 +573,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     flagship, month_version_select, csv_typed_scan, csv_inferred_types, csv_inferred_scan, series_csv_scan, sink_roundtrip,
     sink_partition_overwrite, union_by_name,
     union_promoted, drop_columns,
-    drop_repeated_columns, column_profile, dtype_counts, missing_report, high_missing_columns,
+    drop_repeated_columns, column_profile, dtype_counts, dtype_profile, missing_report, high_missing_columns,
     date_missing_counts, filter_category, filtered_count, iqr_filter, quartiles, histogram_bins,
     box_stats, numeric_summary, column_summary, global_median_mean, price_vs_list_share,
     stage_counts, stage_counts_observed, category_share, group_median_topk, group_median_min_size, latest_n, month_key,

@@ -400,3 +400,8 @@ UNION ALL SELECT 'agent_volume', agent, n, volume FROM (SELECT agent, count(*) A
   WHERE agent IS NOT NULL GROUP BY agent ORDER BY volume DESC NULLS LAST, agent LIMIT 10)
 UNION ALL SELECT 'new_listings', strftime(listing_date, '%Y-%m'), count(*), NULL FROM v WHERE listing_date IS NOT NULL GROUP BY 2
 """
+
+SQL["dtype_profile"] = W_SALES + f"""
+SELECT dtype, count(*) AS n_columns, count(*) FILTER (WHERE missing_pct = 100) AS n_empty, sum(missing_count)::BIGINT AS n_missing
+FROM ({_missing_rows(list(SALES_TYPES), with_meta=True)}) GROUP BY dtype
+"""

@@ -73,7 +73,7 @@ def enrich(fact: DataFrame, rates: DataFrame, date_col: str, rate_date: str = "d
     date fails the job instead of losing its rate."""
     fact, rates = D.strict_dates(fact, date_col), D.strict_dates(rates, rate_date)
     monthly = T.monthly_mean(rates, rate_date, rate_value, name=rate_value)
-    return T.join_monthly(fact, monthly, date_col)
+    return T.join_monthly(fact, monthly, date_col, unique=True)
 
 
 def clean(df: DataFrame, date_cols: Sequence[str] = SOLD_DATE_COLUMNS,

@@ -36,7 +36,7 @@ def test_filter_pushed_and_columns_pruned(spark):
 
 
 @pytest.mark.parametrize("name", ["box_stats", "numeric_summary", "histogram_bins", "flagship", "regional_trend",
-                                  "group_median_topk", "stage_counts"])
+                                  "group_median_topk", "stage_counts", "category_share"])
 def test_input_is_evaluated_once(spark, monkeypatch, name):
     """Over the write of the counted values and what reads it, the facts are scanned once (stage_counts: and counted raw)."""
     plans = []
