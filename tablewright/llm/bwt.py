@@ -6,10 +6,9 @@ the first symbol of every suffix and the step from a suffix to the next, so the
 merge below reads transforms only, never the texts.
 
 The merge keeps the interleave of the shards' rows, sorted by the first ``d``
-symbols, as blocks of rows that agree in them.  A round refines it to ``2 d``:
-the rows of a block are told apart by the blocks of the suffixes ``d`` steps
-further.  Each shard's rows arrive in their order, so a round merges sorted
-runs.  Rows alone in their block are settled.  Blocks that remain at depth
+symbols, as blocks of rows that agree in them.  A round refines it to ``3 d``:
+the rows of a block are told apart by the blocks of the suffixes ``d`` and ``2 d``
+steps further.  Rows alone in their block are settled.  Blocks that remain at depth
 ``length`` are the intervals whose common prefix is at least that long.
 """
 
@@ -19,6 +18,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+#: Symbols of the first key: as many as fit a number.
+FIRST = 7
+
 
 @dataclass
 class Shard:
@@ -33,24 +35,44 @@ def _starts(sorted_keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _regroup(rows: np.ndarray, block: np.ndarray, key: np.ndarray, places: int) -> np.ndarray:
-    """Split the blocks of ``rows`` by ``key``; ``block`` gets the new block of
-    each row (its first place in the order).  Returns the rows that share one."""
-    order = np.argsort(block[rows] * places + key, kind="stable")
+def _regroup(rows: np.ndarray, block: np.ndarray, keys: list[np.ndarray], places: int) -> np.ndarray:
+    """Split the blocks of ``rows`` by ``keys`` (blocks, below ``places``); ``block`` gets the new block
+    of each row (its first place in the order).  Returns the rows that share one."""
+    key = block[rows]
+    for k in keys:
+        key = key * places + k
+    order = np.argsort(key)
     rows, key = rows[order], key[order]
     old = block[rows]
     at = np.arange(len(rows))
-    first = _starts(old)
-    new = first | _starts(key)
-    begin = np.maximum.accumulate(np.where(first, at, 0))
+    new = _starts(key)
+    begin = np.maximum.accumulate(np.where(_starts(old), at, 0))
     head = np.maximum.accumulate(np.where(new, at, 0))
     block[rows] = old + head - begin
-    size = np.diff(np.append(np.flatnonzero(new), len(rows)))
-    return rows[np.repeat(size, size) > 1]
+    return rows[_with_others(new)]
+
+
+def _with_others(new: np.ndarray) -> np.ndarray:
+    """Which of the sorted rows aren't alone, given where a group begins."""
+    return ~(new & np.append(new[1:], True))
+
+
+def _first_blocks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block of every row by its first key, and the rows that share one."""
+    order = np.argsort(key)
+    new = _starts(key[order])
+    block = np.empty(len(key), np.int64)
+    block[order] = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+    return block, order[_with_others(new)]
+
+
+def _ways(n: int) -> int:
+    """How many times the depth a round reaches: two keys ahead fit a number with the block if it is below 2^21."""
+    return 3 if n < 1 << 21 else 2
 
 
 def shard_bwt(strings: list[bytes]) -> Shard:
-    """The transform of one shard, by prefix doubling over its suffixes."""
+    """The transform of one shard, by prefix tripling over its suffixes (doubling in one of more than 2^21 symbols)."""
     lengths = np.array([len(s) + 1 for s in strings])
     n = int(lengths.sum())
     ends = np.cumsum(lengths)
@@ -59,21 +81,17 @@ def shard_bwt(strings: list[bytes]) -> Shard:
     symbols[ends - 1] = 0
     text = np.repeat(np.arange(len(strings)), lengths)
     left = ends[text] - np.arange(n)  # symbols up to the terminator, it included
-    depth = 6
+    depth = FIRST
     key, padded = np.zeros(n, np.int64), np.append(symbols, np.zeros(depth, np.int64))
     for j in range(depth):
         key = key * 257 + np.where(left > j, padded[j:j + n], 0)
-    block, rows = np.zeros(n, np.int64), np.arange(n)
-    order = np.argsort(key, kind="stable")
-    new = _starts(key[order])
-    block[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    size = np.diff(np.append(np.flatnonzero(new), n))
-    rows = np.sort(order[np.repeat(size, size) > 1])
+    block, rows = _first_blocks(key)
     while len(rows):
-        ended = left[rows] <= depth  # equal suffixes: the earlier string first
-        ahead = np.where(ended, rows, block[np.minimum(rows + depth, n - 1)])
-        rows = np.sort(_regroup(rows, block, ahead, n))
-        depth *= 2
+        rows = np.sort(rows)
+        rest = left[rows]  # equal suffixes: the earlier string first
+        keys = [np.where(rest <= k * depth, rows, block[np.minimum(rows + k * depth, n - 1)]) for k in range(1, _ways(n))]
+        rows = _regroup(rows, block, keys, n)
+        depth *= _ways(n)
     suffix = np.empty(n, np.int64)
     suffix[block] = np.arange(n)
     place = suffix - begins[text[suffix]]
@@ -92,38 +110,39 @@ def repeated_intervals(shards: list[Shard], length: int) -> list[np.ndarray]:
         rows = np.argsort(s.bwt, kind="stable")
         first[at:at + len(rows)] = s.bwt[rows]
         step[at:at + len(rows)] = rows + at
-    ended = np.flatnonzero(first == 0)
+    ends = first == 0  # within the depth: at its first symbol so far
+    ended = np.flatnonzero(ends)
     step[ended] = ended
-    powers = [step]
-    while 2 ** len(powers) < length:
-        powers.append(powers[-1][powers[-1]])
-
-    def ahead(rows: np.ndarray, k: int) -> np.ndarray:
-        for j, power in enumerate(powers):
-            if k >> j & 1:
-                rows = power[rows]
-        return rows
-
-    depth = min(4, length)
-    key = np.zeros(n, np.int64)
-    at = np.arange(n)
-    for _ in range(depth):
-        key = key * 257 + first[at]
-        at = step[at]
-    block = np.zeros(n, np.int64)
-    order = np.argsort(key, kind="stable")
-    new = _starts(key[order])
-    block[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    size = np.diff(np.append(np.flatnonzero(new), n))
-    rows = order[np.repeat(size, size) > 1]
-    while True:
+    depth = min(FIRST, length)
+    key, jump = first.copy(), step  # jump: to the suffix as many steps further as the depth
+    for _ in range(depth - 1):
+        symbol = first[jump]
+        key = key * 257 + symbol
+        ends |= symbol == 0
+        jump = step[jump]
+    block, rows = _first_blocks(key)
+    rows = rows[~ends[rows]]
+    while depth < length and len(rows):
         rows = np.sort(rows)
-        rows = rows[first[ahead(rows, depth - 1)] != 0]  # the rest end within the depth
-        if depth == length or not len(rows):
-            break
-        further = min(depth, length - depth)
-        rows = _regroup(rows, block, block[ahead(rows, further)], n)
-        depth += further
+        reach = min(_ways(n) * depth, length)
+        ahead, keys, gone = rows, [], np.zeros(len(rows), bool)
+        for at in range(depth, reach, depth):
+            if reach - at >= depth:
+                ahead = jump[ahead]
+            else:  # the last part is shorter: from where it ends the depth
+                for _ in range(reach - at):
+                    ahead = step[ahead]
+            keys.append(block[ahead])
+            gone |= ends[ahead]
+        rows, keys = rows[~gone], [k[~gone] for k in keys]  # the others share no string of this length
+        rows = _regroup(rows, block, keys, n)
+        if reach < length:
+            twice = jump[jump]
+            if reach == 2 * depth:
+                ends, jump = ends | ends[jump], twice
+            else:
+                ends, jump = ends | ends[jump] | ends[twice], jump[twice]
+        depth = reach
     shared = np.zeros(n, bool)
     shared[rows] = True
     return [shared[a:b] for a, b in zip(base, base[1:])]

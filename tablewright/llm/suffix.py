@@ -44,7 +44,7 @@ GRAM = 32
 #: Runs of one hash up to which they are merged in one task (at most 100 KB).
 CROWD = 256
 #: Bytes of a text hashed at a time, and of strings merged at a time.
-BLOCK, BUCKET = 1 << 17, 1 << 21
+BLOCK, BUCKET = 1 << 17, 1 << 18
 SPLIT = 4
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _PLACE = np.uint64((1 << 24) - 1)
