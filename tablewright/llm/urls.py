@@ -1,15 +1,19 @@
 """URL filters by a temporal list join.
 
 A list is a history: dated entries that add or remove a host (with all hosts
-below it) or a path below a host.  The history of each entry becomes validity
-intervals, and an as-of join evaluates every capture against the entries that
-were active when it was fetched, not against the list of today.  The most
-specific active entry decides: a path before hosts, a longer host before a
-shorter one, ``allow`` before ``block`` where both lists hold the same entry.
-
-A capture is expanded into the few keys that could match it (its host's
-suffixes, with and without the first path segment), and keys are joined to
-entries by equality, with the interval as a condition on the matched pair.  An
+below it) or a path of any depth below a host (with all that is below it).  The
+history of each entry becomes validity intervals, and an as-of join evaluates
+every capture against the entries that were active when it was fetched, not
+against the list of today.  The most specific active entry decides: the path with
+most segments, then the longer entry, ``allow`` before ``block`` where both lists
+hold the same one.
+
+Entries are read as URLs are: a scheme, a user, a port, a query and closing dots
+and slashes are left out, the host is in lower case.
+
+A capture is expanded into the keys that could match it (its host's suffixes,
+alone and with each of its leading paths, as deep as the list has any), and keys
+are joined to entries by equality, with the interval as a condition on the matched pair.  An
 entry has at most one interval at a time, so the join adds no rows; a host with
 a third of all captures is split by the join's skew handling, since the side of
 the list has one entry's intervals only.
@@ -18,17 +22,19 @@ Defined results: a null or malformed URL has no host and an unknown date no
 active entries, so neither is blocked; repeated captures are evaluated each;
 on one day a removal comes after an addition; adding what is active or
 removing what isn't changes nothing; an entry without removal stays active;
-empty tables give empty results.
+empty tables give empty results.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tablewright.llm.common import table
+from tablewright.llm.common import materialize, table
 
 #: Scheme, user and port are left out; a host ends at a slash, question mark, hash or colon (fixed patterns).
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
 SEGMENT = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]+)"
 FOREVER = "9999-12-31"
 
@@ -38,22 +44,43 @@ def host(url: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.$", ""), F.lit(""))
 
 
-def keys(url: Column) -> Column:
-    """The list entries that could match: suffixes of the host, alone and with the first path segment."""
+def segments(path: Column) -> Column:
+    """The leading segments of a path that begins with a slash, up to an empty one."""
+    def leading(parts: Column) -> Column:
+        gap = F.array_position(parts, "")
+        return F.slice(parts, 1, F.when(gap > 0, (gap - 1).cast("int")).otherwise(F.size(parts)))
+
+    return F.transform(F.array(F.slice(F.split(path, "/"), 2, F.length(path) + 1)), leading)[0]
+
+
+def keys(url: Column, depth: int = 1) -> Column:
+    """The list entries that could match: suffixes of the host, alone and with the paths of up to ``depth`` segments."""
     def suffixes(parts: Column) -> Column:
         return F.transform(parts, lambda _, i: F.array_join(F.slice(parts, i + 1, F.size(parts)), "."))
 
+    def paths(parts: Column) -> Column:
+        most = F.least(F.size(parts), F.lit(depth))
+        return F.transform(F.slice(parts, 1, most), lambda _, i: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, i + 1), "/")))
+
     hosts = F.transform(F.array(F.split(host(url), r"\.")), suffixes)[0]
-    segment = F.regexp_extract(url, SEGMENT, 1)
-    paths = F.when(segment == "", F.array().cast("array<string>")).otherwise(
-        F.transform(hosts, lambda h: F.concat(h, F.lit("/"), segment)))
-    return F.when(host(url) == "", F.array().cast("array<string>")).otherwise(F.concat(hosts, paths))
+    below = F.transform(F.array(segments(F.regexp_extract(url, PATH, 1))), paths)[0]
+    both = F.flatten(F.transform(hosts, lambda h: F.concat(F.array(h), F.transform(below, lambda p: F.concat(h, p)))))
+    return F.when(F.coalesce(host(url), F.lit("")) == "", F.array().cast("array<string>")).otherwise(both)
+
+
+def normalised(entry: Column) -> Column:
+    """A list entry as ``keys`` writes it; null if it has no host."""
+    plain = F.when(entry.rlike(SCHEME), entry).otherwise(F.concat(F.lit("http://"), F.ltrim(entry)))
+    path = F.array_join(segments(F.regexp_extract(plain, PATH, 1)), "/")
+    name = host(F.trim(plain))
+    return F.when(name != "", F.concat(name, F.when(path == "", "").otherwise(F.concat(F.lit("/"), path))))
 
 
 def intervals(history: DataFrame) -> DataFrame:
     """``history`` (list, entry, day, action ``add`` or ``remove``) as rows
     (list, entry, valid_from, valid_to), the last day left out."""
-    last = history.where("entry is not null and day is not null").groupBy("list", "entry", "day").agg(
+    known = history.withColumn("entry", normalised(F.col("entry"))).where("entry is not null and day is not null")
+    last = known.groupBy("list", "entry", "day").agg(
         F.max("action").alias("action"))  # remove sorts after add
     by = Window.partitionBy("list", "entry").orderBy("day")
     turns = last.withColumn("before", F.lag("action").over(by)).where(
@@ -67,11 +94,13 @@ def evaluate(captures: DataFrame, history: DataFrame) -> DataFrame:
     active entries, the one that decides and whether it blocks."""
     rows = captures.select("id", "url", "fetched_on")
     each = rows.groupBy("id", "url", "fetched_on").agg(F.count("*").alias("copies"))
-    keyed = each.select("*", F.explode_outer(keys(F.col("url"))).alias("key"))
-    active = intervals(history)
+    active = materialize(intervals(history), "intervals")
+    levels = F.size(F.split("entry", "/")) - 1
+    depth = active.agg(F.max(levels)).first()[0] or 0
+    keyed = each.select("*", F.explode_outer(keys(F.col("url"), depth)).alias("key"))
     met = keyed.join(active, (F.col("key") == F.col("entry")) & (F.col("fetched_on") >= F.col("valid_from"))
                      & (F.col("fetched_on") < F.col("valid_to")), "left")
-    place = F.struct(F.contains("entry", F.lit("/")).cast("int").alias("path"), F.length("entry").alias("length"),
+    place = F.struct(levels.alias("path"), F.length("entry").alias("length"),
                      (F.col("list") == "allow").cast("int").alias("allow"), "entry", "list")
     out = met.groupBy("id", "url", "fetched_on", "copies").agg(
         F.count("entry").alias("n_active"), F.max(F.when(F.col("entry").isNotNull(), place)).alias("top"))

@@ -41,3 +41,21 @@ def test_entries_in_time(spark):
     assert sorted(((r.id, r.url, r.fetched_on, r.blocked, r.n_active) for r in got), key=key) == sorted(rows, key=key)
     assert urls.evaluate(captures.limit(0), history).count() == 0
     assert not any(r.blocked for r in urls.evaluate(captures, history.limit(0)).collect())
+
+
+def test_deep_paths_and_spellings_of_entries(spark):
+    """Entries of any depth match, whatever their capitals, scheme, port and closing slashes; the deepest path decides."""
+    day = D(2020, 1, 1)
+    history = spark.createDataFrame([(kind, e, day, "add") for kind, e in [
+        ("block", "Example.org"), ("allow", "example.org/a/b"), ("block", "HTTPS://user@www.Example.org.:443/a/b/c/?q#f"), ("block", "deep.net/x/y/"),
+        ("block", "case.com/Path"), ("block", ""), ("block", "/only/path"), ("block", "  "), ("allow", "long-host.example.org")]],
+        "list string, entry string, day date, action string")
+    rows = [(1, "http://example.org/", True, 1), (2, "http://example.org/a/b", False, 2), (3, "http://www.example.org/a/b/c/d", True, 3),
+            (4, "http://www.example.org/a/bb", True, 1), (5, "http://deep.net/x", False, 0), (6, "http://deep.net/x/y?z", True, 1),
+            (7, "http://deep.net//x/y", False, 0), (8, "http://CASE.com/Path/more", True, 1), (9, "http://case.com/path", False, 0),
+            (10, "http://long-host.example.org/a/b", False, 3), (11, "http://deep.net/" + "x/" * 3000, False, 0),
+            (12, "http://deep.net/x/y/" + "z/" * 3000, True, 1)]
+    captures = spark.createDataFrame([(i, u, day) for i, u, _, _ in rows], "id long, url string, fetched_on date")
+    got = urls.evaluate(captures, history).collect()
+    assert sorted((r.id, r.url, r.blocked, r.n_active) for r in got) == rows
+    assert {r.id: r.entry for r in got}[3] == "www.example.org/a/b/c"
