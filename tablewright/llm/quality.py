@@ -26,7 +26,8 @@ all, and without it the first one would be infinitely far away.
 
 Defined results: null and empty texts have no words and fail the base rules;
 repeated rows are judged each, alike; null languages and sources are values of
-their own; an empty table gives an empty result.
+their own; an empty table gives an empty result.  Ids may be of any type; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -229,10 +230,12 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass; a verdict follows from text, language and source alone."""
+    """The rows of ``docs`` that pass; a verdict follows from text, language and source alone.  Rows travel as
+    one column, so columns of any name stay as they are."""
     good = judge(docs).where("kept").select(F.col("text_hash").alias("_h"), F.col("lang").alias("_l"), F.col("source").alias("_s"))
-    return docs.join(good, (F.xxhash64("text") == F.col("_h")) & docs["lang"].eqNullSafe(F.col("_l"))
-                     & docs["source"].eqNullSafe(F.col("_s")), "left_semi")
+    rows = docs.select(F.xxhash64("text").alias("text_hash"), "lang", "source", F.struct(*docs.columns).alias("row"))
+    return rows.join(good, (F.col("text_hash") == F.col("_h")) & F.col("lang").eqNullSafe(F.col("_l"))
+                     & F.col("source").eqNullSafe(F.col("_s")), "left_semi").select("row.*")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

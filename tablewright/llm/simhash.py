@@ -138,9 +138,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))).alias("k"))
     kept = kept.select("k.*")
+    # Rows travel as one column, so columns of any name stay as they are.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("row"))
     alone = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
-            .withColumn("_n", F.row_number().over(alone)).where("_n = 1").select(*docs.columns))
+    return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+            .withColumn("_n", F.row_number().over(alone)).where("_n = 1").select("row.*"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

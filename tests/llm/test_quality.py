@@ -29,6 +29,46 @@ def least(values, share):
     return values[int(np.ceil(share * len(values))) - 1]
 
 
+def squared(x, m, low):
+    return (np.linalg.solve(low, (x - m).T) ** 2).sum(0)
+
+
+def steps(d):
+    return np.floor(16 * np.log2(d + 1e-6))
+
+
+def estimate(x, held=None, starts=(0, 1, 2)):
+    """Least determinant's logarithm, its start, location and triangular factor: half held, until no determinant falls."""
+    n, floor = len(x), 100.0 ** 2 * np.eye(4)
+    held = held or (n + 4 + 1) // 2
+    mid = np.array([least(c, 0.5) for c in x.T])
+    dev = np.array([least(np.abs(c - m), 0.5) for c, m in zip(x.T, mid)])
+    first = {0: (mid, np.diag((1.4826 * dev) ** 2) + floor), 1: (mid, floor), 2: (x.mean(0), np.cov(x.T, bias=True) + floor)}
+    found = []
+    for start in starts:
+        (m, cov), before = first[start], np.inf
+        while True:
+            d = steps(squared(x, m, np.linalg.cholesky(cov)))
+            some = x[d <= sorted(d)[held - 1]]
+            m, cov = some.mean(0), np.cov(some.T, bias=True) + floor
+            det = 2 * np.log(np.diag(np.linalg.cholesky(cov))).sum()
+            found.append((det, start, m, np.linalg.cholesky(cov)))
+            if not det < before - 1e-4:
+                break
+            before = det
+    return min(found, key=lambda f: f[:2])
+
+
+def cell_verdicts(x, cutoff=None, **options):
+    """Which rows of a cell are near enough: the cutoff follows the distances of the clean ones."""
+    _, _, m, low = estimate(x, **options)
+    d = squared(x, m, low)
+    scale = max(1.0, 2 ** ((least(steps(d), 0.5) + 0.5) / 16) / 3.3567)
+    clean = steps(d[d <= 18.467 * scale])
+    far = max(18.467, 5 * 2 ** ((least(clean, 0.99) + 1) / 16) / scale) if len(clean) else 18.467
+    return d / scale <= (cutoff or far)
+
+
 def verdicts(rows):
     """The whole operator in numpy, cell by cell."""
     s = [stats(r.text) for r in rows]
@@ -44,21 +84,9 @@ def verdicts(rows):
             cells[(0, *k) if count[k] >= 60 else (1, r.lang) if small[r.lang] >= 60 else (2,)].append(i)
     kept = [not b for b in base]
     for members in cells.values():
-        if len(members) < 60:
-            continue
-        x = np.array([vector(s[i]) for i in members])
-        mid = np.array([least(c, 0.5) for c in x.T])
-        dev = np.array([least(np.abs(c - m), 0.5) for c, m in zip(x.T, mid)])
-        m, cov = mid, np.diag((1.4826 * dev) ** 2 + 100.0 ** 2)
-        step = lambda: np.floor(16 * np.log2(np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m) + 1e-6))
-        for _ in range(4):
-            d = step()
-            held = x[d <= least(d, 0.75)]
-            m, cov = held.mean(0), np.cov(held.T, bias=True) + 100.0 ** 2 * np.eye(4)
-        scale = max(1.0, 2 ** ((least(step(), 0.5) + 0.5) / 16) / 3.3567)
-        d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m) / scale
-        for i, far in zip(members, d > 100.0):
-            kept[i] = not far
+        if len(members) >= 60:
+            for i, near in zip(members, cell_verdicts(np.array([vector(s[i]) for i in members]))):
+                kept[i] = bool(near)
     return s, base, kept
 
 
@@ -98,3 +126,37 @@ def test_a_third_of_a_cell_is_one_copied_outlier(spark):
     got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(data, "doc_id long, text string, lang string, source string")).collect()}
     assert not any(r.base_failed for r in got.values())
     assert all(got[i].kept for i in range(200)) and not any(got[i].kept for i in range(200, 300))
+
+
+def mixture(rng):
+    """Vectors with two thirds of a cell in the middle, a third at one far point and some in between."""
+    x = np.concatenate([rng.normal(0, 150, (260, 4)) * [1, 2, 1, 3], rng.normal(0, 20, (130, 4)) + [900, -700, 800, 2500],
+                        rng.normal(0, 1200, (30, 4))])
+    return np.round(x).astype(int)
+
+
+def test_estimate_holds_half_from_three_starts(spark):
+    """The operator's estimate is that of least determinant; with more held, other starts or another cutoff it is another."""
+    rng = np.random.default_rng(12)
+    cells = {k: mixture(rng) for k in range(6)}
+    cells[6] = np.round(np.concatenate([rng.normal(0, 100, (100, 4)), rng.normal(3000, 30, (99, 4))])).astype(int)
+    df = spark.createDataFrame([(k, *map(int, row)) for k, x in cells.items() for row in x], "cell long, v0 long, v1 long, v2 long, v3 long")
+    got = {r.cell: r for r in quality._concentrated(df).collect()}
+    starts, differ = set(), Counter()
+    for k, x in cells.items():
+        det, start, m, low = estimate(x.astype(float))
+        starts.add(start)
+        assert abs(sum(2 * np.log(got[k][f"l{i}{i}"]) for i in range(4)) - det) < 1e-6
+        assert np.allclose([got[k][f"m{i}"] for i in range(4)], m) and np.allclose(got[k]["l30"], low[3, 0])
+        differ["held"] += abs(estimate(x.astype(float), held=int(0.75 * len(x)))[0] - det) > 1e-3
+        differ["starts"] += any(abs(estimate(x.astype(float), starts=(s,))[0] - det) > 1e-3 for s in (0, 1, 2))
+        differ["cutoff"] += (cell_verdicts(x.astype(float)) != cell_verdicts(x.astype(float), cutoff=100.0)).any()
+    assert differ["held"] == 7 and differ["starts"] and differ["cutoff"]
+
+
+def test_columns_of_any_name_stay(spark):
+    text = " ".join(f"word{k}" for k in range(40))
+    df = spark.createDataFrame([(1, text, "en", "a"), (2, "x", "en", "a")], "doc_id long, text string, lang string, source string")
+    df = df.selectExpr("*", "7 _h", "8 _l", "9 _s", "'r' row", "'t' text_hash", "1 cell", "2 kept", "3 v0")
+    assert [tuple(r) for r in quality.kept_documents(df).collect()] == [(1, text, "en", "a", 7, 8, 9, "r", "t", 1, 2, 3)]
+    assert quality.kept_documents(df).columns == df.columns

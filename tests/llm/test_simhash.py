@@ -87,3 +87,11 @@ def test_links_of_a_crowd(spark, monkeypatch, most):
     for x in fps:
         s = simhash._signed(x)
         assert got.get(s, s) == min(map(simhash._signed, root[x]))
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (None, None)], "doc_id long, text string")
+    df = df.selectExpr("*", "3 _id", "4 _hash", "7 _n", "'r' row", "5 k", "6 root", "8 fp", "9 text_hash", "1 component_id")
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([(1, "a b c", 3, 4, 7, "r", 5, 6, 8, 9, 1), (None, None, 3, 4, 7, "r", 5, 6, 8, 9, 1)], key=repr)
