@@ -6,7 +6,8 @@ the excess goes to the others in proportion to their weights, again and again
 until no source is above its cap.  A document is then repeated as often as the
 whole part of target / source size says; the fractional part is made of
 further repetitions of documents in a seeded order, the last one in part, so
-that the words taken meet the rounded target exactly.
+that the words taken meet the rounded target exactly (``mixed_documents`` takes
+it whole or not at all: every text of the mix is a whole text of the input).
 
 The seeded order is found without sorting a source: the bucket of hash values
 in which the fractional part runs out is narrowed eight bits at a time by
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tablewright.llm.common import SPACE, materialize, table, word_count
+from tablewright.llm.common import materialize, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -86,9 +87,10 @@ def _thresholds(base: DataFrame, plan: DataFrame) -> DataFrame:
     return plan
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED, parts: bool = True) -> DataFrame:
     """Every row of ``docs`` (doc_id, source, size and any others) with
-    ``source_size``, ``target`` of its source and ``taken`` words."""
+    ``source_size``, ``target`` of its source and ``taken`` words.  Without ``parts`` the document at
+    which a source's fractional part runs out is taken whole or not, whichever is nearer to the target."""
     base = materialize(docs.select("source", F.col("size").cast("long").alias("size"),
                                    order_key(F.col("doc_id"), seed).alias("place")), "sizes")
     targets = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
@@ -104,8 +106,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
         "_place", order_key(F.col("doc_id"), seed))
     before = F.sum("size").over(Window.partitionBy("_source").orderBy("doc_id", "size")
                                 .rowsBetween(Window.unboundedPreceding, -1))
-    at_edge = rows.where("_place = edge and left > 0").withColumn(
-        "_more", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(before, F.lit(0)))))
+    still = F.col("left") - F.coalesce(before, F.lit(0))
+    more = F.greatest(F.lit(0), F.least(F.col("size"), still)) if parts else F.when(2 * still >= F.col("size"), F.col("size")).otherwise(0)
+    at_edge = rows.where("_place = edge and left > 0").withColumn("_more", more.cast("long"))
     others = rows.where("not (_place = edge and left > 0)").withColumn(
         "_more", F.when(F.col("_place") < F.col("edge"), F.col("size")).otherwise(0).cast("long"))
     both = others.unionByName(at_edge)
@@ -113,19 +116,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The mix itself: each document as often as the mix takes it whole, and
-    once more its beginning, as it stands, up to the last word taken where the mix
-    takes it in part: the target is met to the word.  Columns of ``docs``; ``n_chars``, where there is one, follows the text."""
+    """The mix itself: each document as often as the mix takes it, always whole, so a source meets its target to
+    within half a document.  Columns of ``docs``."""
     rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.struct(*docs.columns).alias("row"))
-    mixed = mix(rows, **options).where("taken > 0")
-    whole = (F.col("taken") / F.col("size")).cast("long")
-    rest = F.col("taken") % F.col("size")
-    times = mixed.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0))))
-    words = F.split(F.col(f"row.{text}"), f"(?<!{SPACE}|^)(?={SPACE})")  # each with the spaces before it
-    part = F.array_join(F.slice(words, 1, rest.cast("int")), "")
-    new = F.when(F.col("time") > whole, part).otherwise(F.col(f"row.{text}"))
-    changed = {text: new} | ({"n_chars": F.length(new).cast("long")} if "n_chars" in docs.columns else {})
-    return times.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+    mixed = mix(rows, parts=False, **options).where("taken > 0")
+    times = mixed.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), (F.col("taken") / F.col("size")).cast("long"))))
+    return times.select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import math
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -54,7 +55,7 @@ def test_edge_rows_and_texts(spark, docs):
     mixed = mixing.mixed_documents(docs.withColumn("taken", docs["doc_id"]))
     assert mixed.columns == [*docs.columns, "taken"] and all(r.size == 1 and r.taken == r.doc_id for r in mixed.collect())
     words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in mixed.collect())
-    assert words == sum(r.taken for r in rows)
+    assert words == sum(r.taken for r in mixing.mix(d, parts=False).collect())
 
 
 def test_rerun_and_empty(spark, docs):
@@ -72,11 +73,20 @@ def test_targets(spark, sizes):
     assert all(math.isclose(got[s], want[s], rel_tol=1e-12) for s in sizes)
 
 
-def test_the_part_taken_keeps_its_bytes(spark):
-    """Line breaks and runs of spaces up to the last word taken stay as they are."""
-    text = " \n\n" + "".join(f"wörd{k}{' ' * (k % 3 + 1)}{chr(10) * (k % 2)}\t" for k in range(400))
-    df = spark.createDataFrame([(k, text, s) for k, s in enumerate("abb")], "doc_id long, text string, source string")
-    got = [r.text for r in mixing.mixed_documents(df).collect()]
-    assert sum(len(t.split()) for t in got) == 1200
-    parts = [t for t in got if t != text]
-    assert parts and all(text.startswith(t) and text[len(t)] in " \t\n" for t in parts)
+def test_every_text_of_the_mix_is_whole(spark):
+    """No prefix: the document at a source's edge is taken whole or not, whichever is nearer to the target."""
+    rng = random.Random(5)
+    rows = [(k, " \n\n" + "".join(f"wörd{i}{' ' * (i % 3 + 1)}\t" for i in range(rng.randrange(1, 400))), s)
+            for k, s in enumerate("a" * 40 + "b" * 90 + "c" * 300 + "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 n_chars", "2 whole", "3 edge", "4 time")
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns
+    texts, sizes, taken, times = dict((k, t) for k, t, _ in rows), Counter(), Counter(), Counter()
+    for k, t, s in rows:
+        sizes[s] += len(t.split())
+    for r in got.collect():
+        assert r.text == texts[r.doc_id] and (r.n_chars, r.whole, r.edge, r.time) == (1, 2, 3, 4)
+        taken[r.source] += len(r.text.split())
+        times[r.doc_id] += 1
+    largest = {s: max(len(t.split()) for _, t, x in rows if x == s) for s in sizes}
+    assert all(abs(taken[s] - t) <= largest[s] / 2 + 1 for s, t in targets(sizes).items()) and max(times.values()) <= 3
