@@ -93,3 +93,21 @@ def test_the_sample_is_never_empty(spark):
         assert abs(expected - forest.SAMPLE / 2) < 0.01 * forest.SAMPLE
     few = spark.range(100).selectExpr("id node", "array(id + 1D) embedding")
     assert len(forest.drawn(few, 10 ** 10)) > 0  # none below the first bound: drawn again
+
+
+def test_close_pairs_share_a_leaf_of_deep_trees():
+    """At the production parameters, cuts from a sample of half its bound: pairs just above the least cosine, at depths
+    of labels from some ten thousand to a thousand million vectors."""
+    rng = np.random.default_rng(21)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sample = unit(rng.standard_normal((forest.SAMPLE // 2, 64)))
+    one = unit(rng.standard_normal((400, 64)))
+    aside = rng.standard_normal((400, 64))
+    aside = unit(aside - (aside * one).sum(1, keepdims=True) * one)
+    cosine = rng.uniform(0.98, 0.985, (400, 1))
+    two = cosine * one + np.sqrt(1 - cosine ** 2) * aside
+    for depth in (5, 13, 22):
+        trees, way = forest.fit(sample, depth), forest.directions(64, depth)
+        in_one, in_two = (forest.leaves(x, trees, way, np.full(400, depth)) for x in (one, two))
+        shared = set(zip(*(c.tolist() for c in in_one))) & set(zip(*(c.tolist() for c in in_two)))
+        assert len({row for row, _ in shared}) >= 0.98 * 400
