@@ -13,8 +13,8 @@ is a lookup.  Within a class a token with count c has probability
 the probabilities of all tokens sum to one.
 
 Everything gathered covers the whole training part: token counts and counts of
-class triples are grouped sums.  Training passes over all triples: each
-partition takes a pass from the shared parameters, and the partitions' results
+class triples are grouped sums.  Training passes over all triples: each of
+``PARTS`` parts takes a pass from the shared parameters, and the parts' results
 are averaged, weighted by their tokens (``ROUNDS`` times).  Counts of the
 ``HEAD`` commonest tokens (at most so many) are broadcast, counts of the others
 joined to the documents that hold them.
@@ -42,7 +42,9 @@ from tablewright.llm.common import discard, materialize, table
 END = b"\n"
 CLASSES, OWN, HEAD = 256, 128, 131_072
 WIDTH, NOISE, BATCH, RATE, ROUNDS, SEED = 24, 32, 512, 0.15, 4, 3
-STEP_TOKENS = 400_000
+STEP_TOKENS, STEP_TRIPLES = 400_000, 1 << 14
+#: Parts that the triples are trained in; a fixed number, since the result depends on it.
+PARTS = 8
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -135,28 +137,34 @@ def train_pass(model: dict[str, np.ndarray], square: dict[str, np.ndarray], code
 
 
 def trained(triples: DataFrame, frequency: np.ndarray, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """The model after ``rounds`` passes over the written ``triples`` (code, n)."""
+    """The model after ``rounds`` passes over the written ``triples`` (code, n).
+
+    They are dealt to ``PARTS`` parts by the hash of their code, sorted and passed over in a seeded order, and the
+    parts' results are averaged in the order of the parts: the model follows from the triples alone, on any cluster."""
     flat = _pack(fresh(frequency))
     half = len(flat)
     flat = np.concatenate([flat, np.full(half, 1e-6)])
+    dealt = triples.repartition(PARTS, "code")
     for turn in range(rounds):
-        start = flat
-
-        def run(frames: Iterator[pd.DataFrame], start=start, turn=turn) -> Iterator[pd.DataFrame]:
-            # A frame has one Arrow batch of triples: memory doesn't follow the partition.
-            model, square, seen = _unpack(start[:half]), _unpack(start[half:]), 0
-            for k, frame in enumerate(frames):
-                n = frame["n"].to_numpy(np.float64)
-                train_pass(model, square, frame["code"].to_numpy(np.int64), n, frequency, turn * 1_000_000 + k, RATE)
-                seen += int(n.sum())
-            if seen:
-                yield pd.DataFrame({"k": np.arange(len(start)), "x": np.concatenate([_pack(model), _pack(square)]) * seen, "n": seen})
-
-        found = triples.mapInPandas(run, "k int, x double, n long").groupBy("k").agg(
-            (F.sum("x") / F.sum("n")).alias("x")).collect()  # as many rows as the model has parameters
+        def run(frames: Iterator[pd.DataFrame], start=flat, turn=turn) -> Iterator[pd.DataFrame]:
+            from pyspark import TaskContext
+
+            part = TaskContext.get().partitionId()
+            model, square = _unpack(start[:half]), _unpack(start[half:])
+            # At most CLASSES ** 3 / PARTS triples.
+            mine = pd.concat(list(frames) or [pd.DataFrame({"code": [], "n": []})]).sort_values("code")
+            code, n = mine["code"].to_numpy(np.int64), mine["n"].to_numpy(np.float64)
+            order = np.random.default_rng([SEED, turn, part]).permutation(len(code))
+            for k, at in enumerate(range(0, len(order), STEP_TRIPLES)):
+                some = order[at:at + STEP_TRIPLES]
+                train_pass(model, square, code[some], n[some], frequency, (turn * PARTS + part) * 100_000 + k, RATE)
+            if len(order):
+                yield pd.DataFrame({"part": [part], "x": [np.concatenate([_pack(model), _pack(square)])], "n": [int(n.sum())]})
+
+        # A model for each part.
+        found = sorted(dealt.mapInPandas(run, "part int, x array<double>, n long").collect(), key=lambda r: r.part)
         if found:
-            flat = flat.copy()
-            flat[[r.k for r in found]] = [r.x for r in found]
+            flat = np.average([r.x for r in found], axis=0, weights=[r.n for r in found])
     return _unpack(flat[:half])
 
 

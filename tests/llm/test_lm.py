@@ -67,3 +67,45 @@ def test_class_probabilities_sum_to_one_and_training_helps():
         lm.train_pass(model, square, code, n.astype(float), frequency, k)
     assert np.allclose(np.exp(lm.log_probabilities(model).astype(float)).sum(1), 1, atol=1e-4)
     assert score() > before + 0.5
+
+
+def test_score_is_that_of_the_model(spark, monkeypatch):
+    """Every text's score again, token by token: the softmax over all classes after its context, then the count within the class."""
+    kept = {}
+    plain_trained, plain_triples = lm.trained, lm.triple_counts
+    monkeypatch.setattr(lm, "trained", lambda *a, **b: kept.setdefault("model", plain_trained(*a, **b)))
+    monkeypatch.setattr(lm, "triple_counts", lambda docs, classes, *a: (kept.setdefault("classes", classes), plain_triples(docs, classes, *a))[1])
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    model, classes = kept["model"], kept["classes"]
+    c = Counter(t.encode() for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2 for t in toks(r.text))
+    of = lambda t: int(classes.of([t])[0])
+    mass = Counter({k: 1 for k in range(lm.CLASSES) if k < len(classes.own) + len(classes.starts) or k == lm.CLASSES - 1})
+    for t, n in c.items():
+        mass[of(t)] += n + (of(t) >= len(classes.own))
+    unused = [k for k in range(lm.CLASSES) if k not in mass]
+    for r in rows[:60]:
+        two = one = of(lm.END)
+        total = 0.0
+        for t in (t.encode() for t in toks(r.text)):
+            s = (model["r"][two] * model["w"][0] + model["r"][one] * model["w"][1]) @ model["q"].T + model["b"]
+            s[unused] = -np.inf
+            k = of(t)
+            total += (s[k] - s.max() - np.log(np.exp(s - s.max()).sum())) / np.log(10)
+            if k >= len(classes.own):
+                total += math.log10((c[t] + 1) / mass[k])
+            two, one = one, k
+        assert math.isclose(got[r.doc_id], total, rel_tol=1e-4), r.doc_id
+
+
+def test_reruns_agree_whatever_the_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    scores = []
+    for n, size in ((1, "10000"), (7, "37")):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            scores.append({r.doc_id: r.score for r in lm.score(docs.repartition(n)).collect()})
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert scores[0].keys() == scores[1].keys() and all(math.isclose(scores[0][k], scores[1][k], rel_tol=1e-9) for k in scores[0])
