@@ -45,6 +45,8 @@ WIDTH, NOISE, BATCH, RATE, ROUNDS, SEED = 24, 32, 512, 0.15, 4, 3
 STEP_TOKENS, STEP_TRIPLES = 400_000, 1 << 14
 #: Parts that the triples are trained in; a fixed number, since the result depends on it.
 PARTS = 8
+#: Parameters are averaged as whole numbers of 1 / UNIT.
+UNIT = 2.0 ** 32
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -140,7 +142,7 @@ def trained(triples: DataFrame, frequency: np.ndarray, rounds: int = ROUNDS) ->
     """The model after ``rounds`` passes over the written ``triples`` (code, n).
 
     They are dealt to ``PARTS`` parts by the hash of their code, sorted and passed over in a seeded order, and the
-    parts' results are averaged in the order of the parts: the model follows from the triples alone, on any cluster."""
+    parts' results are averaged in whole units: the model follows from the triples alone, on any cluster."""
     flat = _pack(fresh(frequency))
     half = len(flat)
     flat = np.concatenate([flat, np.full(half, 1e-6)])
@@ -159,12 +161,15 @@ def trained(triples: DataFrame, frequency: np.ndarray, rounds: int = ROUNDS) ->
                 some = order[at:at + STEP_TRIPLES]
                 train_pass(model, square, code[some], n[some], frequency, (turn * PARTS + part) * 100_000 + k, RATE)
             if len(order):
-                yield pd.DataFrame({"part": [part], "x": [np.concatenate([_pack(model), _pack(square)])], "n": [int(n.sum())]})
+                whole = np.round(np.concatenate([_pack(model), _pack(square)]) * UNIT).astype(np.int64)
+                yield pd.DataFrame({"k": np.arange(len(whole)), "x": whole, "n": int(n.sum())})
 
-        # A model for each part.
-        found = sorted(dealt.mapInPandas(run, "part int, x array<double>, n long").collect(), key=lambda r: r.part)
+        # Whole numbers, so that their sums don't depend on the order of the parts; as many rows as the model has parameters.
+        weighted = F.sum(F.col("x").cast("decimal(20,0)") * F.col("n").cast("decimal(17,0)"))
+        found = dealt.mapInPandas(run, "k int, x long, n long").groupBy("k").agg(weighted.alias("x"), F.sum("n").alias("n")).collect()
         if found:
-            flat = np.average([r.x for r in found], axis=0, weights=[r.n for r in found])
+            flat = flat.copy()
+            flat[[r.k for r in found]] = [float(r.x / r.n) / UNIT for r in found]
     return _unpack(flat[:half])
 
 
