@@ -323,13 +323,12 @@ def monthly_mean_stream(spark, sf):
     """The monthly mean of the series that arrives year by year, a seventh of each year's rows a year late."""
     series = S.rename_positional(X.rate_series(spark, sf), ["date", "value"])
     series = series.withColumn("arrives", F.year("date") + (F.day("date") % 7 == 0).cast("int"))
-    drop, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "monthly")
+    drop, out, state = scratch_dir(spark, "arrivals"), scratch_dir(spark, "monthly"), scratch_dir(spark, "monthly-state")
     for year in sorted(r[0] for r in series.select("arrives").distinct().collect()):  # a row for each year
         series.where(F.col("arrives") == year).select("date", "value").hint("rebalance").write.parquet(f"{drop}/{year}")
-    stream = (spark.readStream.schema("date date, value double").option("recursiveFileLookup", True)
-              .option("maxFilesPerTrigger", 1).parquet(drop))
-    start_monthly_mean(stream, "date", "value", out, scratch_dir(spark, "monthly-state"), delay="800 days",
-                       available_now=True).awaitTermination()
+        # All files of a year are one batch, so that the number of batches doesn't grow with the files.
+        stream = spark.readStream.schema("date date, value double").option("recursiveFileLookup", True).parquet(drop)
+        start_monthly_mean(stream, "date", "value", out, state, delay="800 days", available_now=True).awaitTermination()
     # Cents: a sum in another order may differ in its last bits.
     sums = read_monthly_sums(spark, out).withColumn("total", F.round("total", 2))
     return sums.withColumn("rate", r4(F.try_divide("total", "n")))

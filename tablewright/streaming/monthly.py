@@ -19,8 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tablewright.functions.dates import month_start
 from tablewright.functions.nulls import ColumnLike, col
 from tablewright.operators.timeseries import KEY
+from tablewright.session import settings
 from tablewright.sources.sinks import PARTITIONS, write_table
 
+#: Partitions of the state, at most: a task sends one row a month, and every stateful task of every batch reports to the driver.
+STATE_PARTITIONS = 16
+
 
 def monthly_sums(stream: DataFrame, date: ColumnLike, value: ColumnLike, delay: str) -> DataFrame:
     """(month, total, n) of a stream: sums and counts of the non-missing values by month, undated rows left out."""
@@ -38,7 +42,10 @@ def start_monthly_mean(stream: DataFrame, date: ColumnLike, value: ColumnLike, o
 
     writer = (monthly_sums(stream, date, value, delay).writeStream.outputMode("update").foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint))
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    spark = stream.sparkSession
+    parts = min(STATE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with settings(spark, {"spark.sql.shuffle.partitions": str(parts)}):  # the stream keeps the settings it starts with
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def read_monthly_sums(spark: SparkSession, out_path: str) -> DataFrame:

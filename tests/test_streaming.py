@@ -3,6 +3,7 @@
 import os
 import random
 
+from tablewright import session
 from tablewright.operators import timeseries as T
 from tablewright.plans import catalog
 from tablewright.sources import files as FS
@@ -115,3 +116,20 @@ def test_stream_query_runs_several_batches(spark, tmp_path, monkeypatch):
     want = {r["year_month"]: r["rate"] for r in catalog.monthly_mean(spark, SF_SMALL).collect()}
     assert got.keys() == want.keys() and all(abs(got[m] - want[m]) < 1.01e-4 for m in want)
     assert len([f for f in os.listdir(tmp_path / "monthly-state" / "commits") if f.isdigit()]) > 3
+
+
+def test_batches_of_the_stream_follow_years_and_not_files(spark, tmp_path, monkeypatch):
+    """Many files a year: two batches a year at most (the second moves the watermark), in few stateful tasks."""
+    orders = spark.range(0, 6000, 1, 8).selectExpr(
+        "id o_orderkey", "id o_custkey", "'O' o_orderstatus", "cast(id % 900 as double) o_totalprice",
+        "cast(date_add(date'1995-01-01', cast(id % 700 as int)) as timestamp) o_orderdate", "'1-URGENT' o_orderpriority")
+    sf = str(tmp_path / "sf")
+    orders.write.parquet(f"{sf}/orders.parquet")
+    monkeypatch.setattr(catalog, "scratch_dir", lambda spark, name: str(tmp_path / name))
+    with session.settings(spark, {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false"}):  # 40 files a year
+        got = {r["year_month"]: r["rate"] for r in catalog.monthly_mean_stream(spark, sf).collect()}
+        want = {r["year_month"]: r["rate"] for r in catalog.monthly_mean(spark, sf).collect()}
+    assert len(want) == 23 and got.keys() == want.keys() and all(abs(got[m] - want[m]) < 1.01e-4 for m in want)
+    assert len(list((tmp_path / "arrivals" / "1995").glob("part-*"))) > 6
+    assert len([f for f in os.listdir(tmp_path / "monthly-state" / "commits") if f.isdigit()]) <= 6
+    assert len(os.listdir(tmp_path / "monthly-state" / "state" / "0")) <= monthly.STATE_PARTITIONS + 1
