@@ -69,6 +69,8 @@ class Encoder:
         self.tokenizer.no_padding()
         if self.tokenizer.decoder is not None:
             raise ValueError("texts of decoded words can be joined only if the vocabulary has no decoder of its own")
+        # Ids in decimal, as many as the vocabulary's largest asks for.
+        self.numbers = [b"%d" % i for i in range(max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1)]
         self.ids: dict[bytes, bytes] = {}  # of a word: decimal ids with spaces
         self.decoded: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, tuple[bytes, bytes]] = {}
@@ -76,10 +78,12 @@ class Encoder:
 
     def learn(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, e in zip(words, found):
-            ids = e.ids
-            self.ids[word] = " ".join(map(str, ids)).encode()
-            self.decoded[word] = self.tokenizer.decode(ids, skip_special_tokens=False).encode()
+        ids = [e.ids for e in found]
+        del found
+        number = self.numbers.__getitem__
+        self.ids.update(zip(words, [b" ".join(map(number, x)) for x in ids]))
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        self.decoded.update(zip(words, map(str.encode, decoded)))
 
     def run(self, texts: list[bytes | None]) -> tuple[list[bytes], list[bytes]]:
         """For each text its ids, in decimal with one space between, and its decoded text."""

@@ -54,3 +54,19 @@ def test_chunks_are_shared():
     text = " ".join("".join(rnd.choice("abcdef") for _ in range(6)) for _ in range(4000)).encode()
     a, b = bpe.chunks(text), bpe.chunks(b"another start " + text)
     assert b"".join(a) == text and len(set(a) & set(b)) > 0.8 * len(a)
+
+
+def test_words_are_decoded_by_the_batch():
+    e = bpe.Encoder(bpe.vocabulary_text())
+    plain, calls = e.tokenizer, []
+
+    class Counted:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(plain, name)
+
+    e.tokenizer = Counted()
+    texts = ["one two's, three <|endoftext|> \x00 four " * 3, "", "\u65e5\u672c x12 \u00e9 one"]
+    ids, decoded = e.run([t.encode() for t in texts])
+    assert [(i.decode(), d.decode()) for i, d in zip(ids, decoded)] == library(texts)
+    assert calls == ["encode_batch_fast", "decode_batch"]
