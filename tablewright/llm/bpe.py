@@ -12,7 +12,8 @@ reach over a space, so the result is exact for any cut.
 
 Words repeat far more than chunks, so the library encodes each distinct word
 once as well.  Both memories are bounded and only save work: emptying them
-changes no result.
+changes no result.  A full memory of words keeps those of the texts at hand,
+the frequent ones among them.
 
 Defined results: a null or empty text has no tokens and decodes to an empty
 text; repeated rows are encoded each; only the columns asked for are read.
@@ -20,9 +21,11 @@ text; repeated rows are encoded each; only the columns asked for are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +60,18 @@ def chunks(text: bytes, bits: int = CHUNK_BITS, least: int = MIN_CHUNK) -> list[
     return out
 
 
+@contextmanager
+def _no_collection():
+    """A block that makes many small lists but no cycles: the collector would only walk over them."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class Encoder:
     """Encodes and decodes with one vocabulary, remembering chunks and words."""
 
@@ -87,6 +102,10 @@ class Encoder:
 
     def run(self, texts: list[bytes | None]) -> tuple[list[bytes], list[bytes]]:
         """For each text its ids, in decimal with one space between, and its decoded text."""
+        with _no_collection():
+            return self._run(texts)
+
+    def _run(self, texts: list[bytes | None]) -> tuple[list[bytes], list[bytes]]:
         plans, fresh, wanted = [], {}, set()
         for text in texts:
             plan, held = [], []  # (a word of its own, a chunk)
@@ -108,8 +127,7 @@ class Encoder:
                 plan.append((b"".join(held), None))
             wanted.update(w for w, _ in plan if w)
             plans.append(plan)
-        wanted.difference_update(self.ids)
-        self.learn(list(wanted))
+        self.learn([w for w in wanted if w not in self.ids])
         join = b" ".join
         for chunk, words in fresh.items():
             self.chunks[chunk] = (join(filter(None, map(self.ids.__getitem__, words))),
@@ -118,7 +136,8 @@ class Encoder:
         ids = [join(filter(None, (self.ids[w] if w else self.chunks[c][0] for w, c in plan))) for plan in plans]
         decoded = [join(filter(None, (self.decoded[w] if w else self.chunks[c][1] for w, c in plan))) for plan in plans]
         if len(self.ids) > MOST_WORDS:
-            self.ids, self.decoded = {}, {}
+            few = wanted if len(wanted) <= MOST_WORDS // 2 else ()
+            self.ids, self.decoded = ({w: d[w] for w in few} for d in (self.ids, self.decoded))
         if self.chunk_bytes > MOST_CHUNK_BYTES:
             self.chunks, self.chunk_bytes = {}, 0
         return ids, decoded

@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 
@@ -70,3 +71,17 @@ def test_words_are_decoded_by_the_batch():
     ids, decoded = e.run([t.encode() for t in texts])
     assert [(i.decode(), d.decode()) for i, d in zip(ids, decoded)] == library(texts)
     assert calls == ["encode_batch_fast", "decode_batch"]
+
+
+def test_a_full_memory_keeps_the_frequent_words(monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_WORDS", 300)
+    e = bpe.Encoder(bpe.vocabulary_text())
+    learned, plain = [], e.learn
+    monkeypatch.setattr(e, "learn", lambda words: (learned.append(set(words)), plain(words))[1])
+    often = [f"often{i}x" for i in range(50)]
+    for step in range(12):
+        text = " ".join(often + [f"once{step}n{i}" for i in range(80)] + often)
+        ids, decoded = e.run([text.encode()])
+        assert [(i.decode(), d.decode()) for i, d in zip(ids, decoded)] == library([text])
+    assert not any(w.decode() in often for words in learned[1:] for w in words) and len(e.ids) <= 300 + 130
+    assert gc.isenabled()
